@@ -152,17 +152,15 @@ class JdbcTable:
         return writer
 
 
-def write_bucketed(rows: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Save a catalog table hashed and sorted by ``key``.
+def write_bucketed(
+    rows: DataFrame, table: str, key: str, buckets: int, *, path: str | None = None
+) -> None:
+    """Save a catalog table hashed and sorted by ``key``, at ``path`` if given.
 
     Joins on ``key`` then read it bucket by bucket without shuffling it, which is how a
     large ``users`` table is best kept for batch jobs.
     """
-    (
-        rows.repartition(buckets, key)
-        .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .format("parquet")
-        .saveAsTable(table)
-    )
+    writer = rows.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)

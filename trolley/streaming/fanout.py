@@ -39,6 +39,16 @@ class Targets:
         if isinstance(self.users, BatchFolders):
             raise ValueError("users are looked up over all batches; use a table to append to")
 
+    def names(self) -> list[str]:
+        """The tables a batch is counted for, as named in the metrics."""
+        tables = {
+            "quarantine": self.quarantine,
+            "users": self.users,
+            "user_product_interactions": self.interactions,
+            "user_feedback": self.feedback,
+        }
+        return [name for name, table in tables.items() if table is not None]
+
     def create(self, spark: SparkSession) -> None:
         """Make every table that is not there yet."""
         for target in vars(self).values():
@@ -84,22 +94,14 @@ def fan_out(
             log.info("batch %s is empty", batch_id)
             return counts
         days = None if extent.first_day is None else (extent.first_day, extent.last_day)
-        good, bad = accepted(batch), rejected(batch)
+        good = accepted(batch)
         n_good = extent.n - extent.n_rejected
 
-        def store(name: str, target: Table | None, key: str, rows: DataFrame, n_input: int) -> None:
-            if target is None:
-                return
-            keys, bytes_bound = rows, n_input * _ID_BYTES
-            if key == "user_id":
-                keys, bytes_bound = good, extent.user_bytes
-                rows = earliest_per_key(rows, key)
-            elif repeats:
-                rows = drop_replays(rows, key)
+        def store(
+            name: str, target: Table, key: str, rows: DataFrame, keys: DataFrame, n_bytes: int
+        ) -> None:
             stored = target.stored(batch.sparkSession, key, days)
-            if n_input == 0:
-                counts[name] = 0
-            elif stored is None:
+            if stored is None:
                 counts[name] = _write(rows, target, batch_id, samples)
             else:
                 fresh = new_rows(
@@ -108,28 +110,37 @@ def fan_out(
                     key,
                     strategy="semi_first",
                     keys=keys,
-                    bytes_bound=bytes_bound,
+                    bytes_bound=n_bytes,
                     max_broadcast_bytes=max_broadcast_bytes,
                 )
                 counts[name] = _write_if_any(fresh, target, batch_id, samples)
             log.info("batch %s: %s rows into %s", batch_id, counts[name], name)
 
-        store("quarantine", targets.quarantine, "quarantine_id", bad, extent.n_rejected)
-        store("users", targets.users, "user_id", users(good, *ARRIVAL), n_good)
-        store(
-            "user_product_interactions",
-            targets.interactions,
-            "interaction_id",
-            interactions(good, "ingest_ts", clock=clock),
-            n_good,
-        )
-        store(
-            "user_feedback",
-            targets.feedback,
-            "feedback_id",
-            feedback(good, "ingest_ts", clock=clock),
-            n_good,
-        )
+        def store_by_id(name: str, target: Table, key: str, rows: DataFrame, n: int) -> None:
+            unique = drop_replays(rows, key) if repeats else rows
+            store(name, target, key, unique, rows, n * _ID_BYTES)
+
+        counts.update({name: 0 for name in targets.names()})
+        if targets.quarantine is not None and extent.n_rejected > 0:
+            store_by_id(
+                "quarantine", targets.quarantine, "quarantine_id", rejected(batch), extent.n_rejected
+            )
+        if n_good > 0:
+            if targets.users is not None:
+                first = earliest_per_key(users(good, *ARRIVAL), "user_id")
+                store("users", targets.users, "user_id", first, good, extent.user_bytes)
+            if targets.interactions is not None:
+                facts = interactions(good, "ingest_ts", clock=clock)
+                store_by_id(
+                    "user_product_interactions",
+                    targets.interactions,
+                    "interaction_id",
+                    facts,
+                    n_good,
+                )
+            if targets.feedback is not None:
+                facts = feedback(good, "ingest_ts", clock=clock)
+                store_by_id("user_feedback", targets.feedback, "feedback_id", facts, n_good)
     if targets.metrics is not None:
         measured = [(batch_id, name, n) for name, n in counts.items()]
         targets.metrics.write(decoded.sparkSession.createDataFrame(measured, METRICS), batch_id)
