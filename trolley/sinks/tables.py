@@ -64,7 +64,8 @@ class ParquetTable:
     def stored(self, spark: SparkSession, key: str, days: Days | None) -> DataFrame:
         rows = self.read(spark)
         if self.by_day and days is not None:
-            rows = rows.where(F.col("ingest_day").between(*days))
+            day = F.col("ingest_day")
+            rows = rows.where(day.between(*days) | day.isNull())
         return rows.select(key)
 
     def write(self, rows: DataFrame, batch_id: int = 0) -> None:
