@@ -30,6 +30,7 @@ from trolley.plans.inputs import (
     FIELDS,
     activity_sql,
     envelope,
+    events_of,
     field_sql,
     id_sql,
     messages,
@@ -69,7 +70,7 @@ def stored_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An event as JSON bytes and back; the format keeps microseconds."""
     precise = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    events = table(spark, sf_dir, "events")
+    events = events_of(spark, sf_dir)
     text = F.to_json(F.struct("*"), {"timestampNTZFormat": precise})
     schema = T.StructType(
         [
@@ -93,7 +94,7 @@ def decode_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SMALL = """concat('{"user_id":"', user_id, '","session_duration":', event_id % 1800, '}')"""
 
 
-def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _damaged(spark: SparkSession, sf_dir: str, waves: int = 1) -> DataFrame:
     """Clicks lose the closing brace, sign-ups their payload, errors their key."""
     value = F.expr(
         f"""CASE event_type
@@ -102,7 +103,7 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHEN 'error' THEN concat('{{"session_duration":', event_id % 1800, '}}')
             ELSE {_SMALL} END"""
     )
-    return envelope(table(spark, sf_dir, "events"), value)
+    return envelope(events_of(spark, sf_dir, waves), value)
 
 
 @QUERIES.add(
@@ -157,7 +158,7 @@ def partial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                   ',"user_rating":', CASE event_type WHEN 'error' THEN '"nope"' ELSE CAST(value AS STRING) END, '}')"""
     )
     schema = narrowed("session_duration", "user_rating")
-    records = accepted(decode(envelope(table(spark, sf_dir, "events"), value), schema))
+    records = accepted(decode(envelope(events_of(spark, sf_dir), value), schema))
     return records.select("user_id", "session_duration", "user_rating", "partial")
 
 

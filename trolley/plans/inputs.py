@@ -101,7 +101,19 @@ def envelope(events: DataFrame, value) -> DataFrame:
     ).select(*MESSAGE.fieldNames())
 
 
-def messages(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+def spread(df: DataFrame, pieces: int) -> DataFrame:
+    """``df`` over at least ``pieces`` partitions, so that a single small file keeps all cores
+    busy. Input that is split well enough already is not shuffled."""
+    return df if df.rdd.getNumPartitions() >= pieces else df.repartition(pieces)
+
+
+def events_of(spark: SparkSession, sf_dir: str, waves: int = 1) -> DataFrame:
+    """The events, split for at least ``waves`` tasks per core."""
+    pieces = waves * spark.sparkContext.defaultParallelism
+    return spread(table(spark, sf_dir, "events"), pieces)
+
+
+def messages(spark: SparkSession, sf_dir: str, *names: str, waves: int = 1) -> DataFrame:
     """One message per event, with all activity fields or those named."""
     fields = []
     for name in names or ACTIVITY.fieldNames():
@@ -109,7 +121,7 @@ def messages(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
         if ACTIVITY[name].dataType.typeName() == "timestamp":
             field = wire_timestamp(field)
         fields.append(field.alias(name))
-    return envelope(table(spark, sf_dir, "events"), record_json(*fields))
+    return envelope(events_of(spark, sf_dir, waves), record_json(*fields))
 
 
 def zoneless(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trolley.operators import new_rows
 from trolley.plans.batch_queries import (
     _DISTINCT_NEW,
     _FIRST_USERS,
@@ -16,10 +17,9 @@ from trolley.plans.batch_queries import (
 )
 from trolley.plans.inputs import table, zoneless
 from trolley.plans.registry import Registry
-from trolley.operators import new_rows
 from trolley.schemas import USERS
 from trolley.session import is_local, scratch_dir
-from trolley.sinks import JdbcTable, ParquetTable, write_bucketed
+from trolley.sinks import JdbcTable, ParquetTable, Table, write_bucketed
 from trolley.sources import Jdbc, column_bounds, key_ranges, read_query, read_table
 
 QUERIES = Registry()
@@ -96,28 +96,26 @@ _USER_TYPES = ", ".join(
 )
 
 
-@QUERIES.add(_FIRST_USERS)
-def jdbc_new_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users go into a database table twice; the second time none is new."""
-    users = JdbcTable(_database(spark), _name("users"), USERS, column_types=_USER_TYPES)
+def _added_twice(spark: SparkSession, sf_dir: str, users: Table) -> DataFrame:
     users.create(spark)
-    for _ in range(2):
+    for batch_id in range(2):
         rows = users_first_seen(spark, sf_dir)
         rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in USERS])
-        users.write(new_rows(rows, users.read(spark), "user_id"))
+        users.write(new_rows(rows, users.stored(spark, "user_id", None), "user_id"), batch_id)
     return zoneless(users.read(spark))
 
 
+@QUERIES.add(_FIRST_USERS)
+def jdbc_new_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users go into a database table twice; the second time none is new."""
+    users = JdbcTable(_database(spark), _name("users"), USERS, column_types=_USER_TYPES)
+    return _added_twice(spark, sf_dir, users)
+
+
 @QUERIES.add(_FIRST_USERS)
 def parquet_new_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a folder of Parquet files."""
-    users = ParquetTable(scratch_dir(spark, "users"), USERS)
-    users.create(spark)
-    for _ in range(2):
-        rows = users_first_seen(spark, sf_dir)
-        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in USERS])
-        users.write(new_rows(rows, users.read(spark), "user_id"))
-    return zoneless(users.read(spark))
+    return _added_twice(spark, sf_dir, ParquetTable(scratch_dir(spark, "users"), USERS))
 
 
 @QUERIES.add(_DISTINCT_NEW)

@@ -37,14 +37,16 @@ from trolley.streaming import (
 QUERIES = Registry()
 
 _DRAIN = {"availableNow": True}
-_FILES, _FILES_PER_BATCH = 8, 4
 
 
-def _archive(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
-    """A stream over the messages, which are first written below ``root``."""
+def _archive(spark: SparkSession, root: str, make, *arguments: str) -> DataFrame:
+    """A stream over messages that are first written below ``root``.
+
+    There are at least two files per core and a batch takes one per core.
+    """
     path = f"{root}/messages"
-    rows.repartition(_FILES).write.parquet(path)
-    return message_files(spark, path, max_files=_FILES_PER_BATCH)
+    make(spark, *arguments, waves=2).write.parquet(path)
+    return message_files(spark, path, max_files=spark.sparkContext.defaultParallelism)
 
 
 # --- landing --------------------------------------------------------------------------------
@@ -54,7 +56,7 @@ def _archive(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
 def landing_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fields of every message as Parquet."""
     root = scratch_dir(spark, "landing_parquet")
-    stream = _archive(spark, root, messages(spark, sf_dir))
+    stream = _archive(spark, root, messages, sf_dir)
     await_query(land_parquet(stream, f"{root}/out", f"{root}/checkpoint", trigger=_DRAIN))
     return zoneless(spark.read.schema(ACTIVITY).parquet(f"{root}/out"))
 
@@ -63,7 +65,7 @@ def landing_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fields of every message as JSON lines."""
     root = scratch_dir(spark, "landing_json")
-    stream = _archive(spark, root, messages(spark, sf_dir))
+    stream = _archive(spark, root, messages, sf_dir)
     query = land_json(stream, f"{root}/out", f"{root}/checkpoint", trigger=_DRAIN, keep="fields")
     await_query(query)
     return zoneless(spark.read.schema(ACTIVITY).json(f"{root}/out"))
@@ -79,7 +81,7 @@ SELECT concat('{"session_duration":', event_id % 1800, '}') FROM events WHERE ev
 def landing_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whatever is JSON lands as it was sent, with or without a key."""
     root = scratch_dir(spark, "landing_payload")
-    stream = _archive(spark, root, _damaged(spark, sf_dir))
+    stream = _archive(spark, root, _damaged, sf_dir)
     await_query(land_json(stream, f"{root}/out", f"{root}/checkpoint", trigger=_DRAIN))
     return spark.read.text(f"{root}/out")
 
@@ -92,7 +94,7 @@ FROM events WHERE event_type IN ('click', 'signup')"""
 def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is not a JSON object, with the reason."""
     root = scratch_dir(spark, "landing_rejects")
-    stream = _archive(spark, root, _damaged(spark, sf_dir))
+    stream = _archive(spark, root, _damaged, sf_dir)
     await_query(land_rejects(stream, f"{root}/out", f"{root}/checkpoint", trigger=_DRAIN))
     landed = spark.read.schema(QUARANTINE).parquet(f"{root}/out")
     return landed.select("ingest_offset", "reason")
@@ -111,7 +113,7 @@ def _stream_users(spark: SparkSession, sf_dir: str, label: str, **options) -> Da
     known = stored_users(spark, sf_dir)
     users.create(spark)
     users.write(known.select(*_as_users(known)))
-    stream = _archive(spark, root, messages(spark, sf_dir))
+    stream = _archive(spark, root, messages, sf_dir)
     await_query(start_users(stream, users, f"{root}/checkpoint", trigger=_DRAIN, **options))
     # Users stored before the stream have no name.
     added = users.read(spark).where(F.col("first_name").isNotNull())
@@ -142,7 +144,7 @@ def stream_users_remembered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact streaming distinct, kept for the life of the query."""
     root = scratch_dir(spark, "stream_distinct")
-    stream = _archive(spark, root, messages(spark, sf_dir, "user_id", "subscription_type"))
+    stream = _archive(spark, root, messages, sf_dir, "user_id", "subscription_type")
     records = accepted(decode(stream, narrowed("subscription_type")))
     rows = distinct_rows(records.select("user_id", "subscription_type"))
     query = (
@@ -162,7 +164,7 @@ def stream_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream_facts")
     facts = ParquetTable(f"{root}/interactions", INTERACTIONS, by_day=True, rebalance=True)
     said = ParquetTable(f"{root}/feedback", FEEDBACK, by_day=True, rebalance=True)
-    stream = _archive(spark, root, messages(spark, sf_dir))
+    stream = _archive(spark, root, messages, sf_dir)
     await_query(start_facts(stream, facts, said, f"{root}/checkpoint", trigger=_DRAIN))
     return zoneless(said.read(spark).select(*FEEDBACK.fieldNames()))
 
@@ -172,7 +174,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic is read twice, the second time without a checkpoint of the first."""
     root = scratch_dir(spark, "stream_replay")
     facts = ParquetTable(f"{root}/interactions", INTERACTIONS)
-    stream = _archive(spark, root, messages(spark, sf_dir))
+    stream = _archive(spark, root, messages, sf_dir)
     for run in ("first", "second"):
         await_query(start_facts(stream, facts, None, f"{root}/{run}", trigger=_DRAIN))
     return zoneless(facts.read(spark))
@@ -193,7 +195,7 @@ def stream_fanout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table as counted by the batches of the combined job."""
     root = scratch_dir(spark, "stream_fanout_metrics")
     metrics = BatchFolders(f"{root}/metrics", METRICS)
-    stream = _archive(spark, root, _damaged(spark, sf_dir))
+    stream = _archive(spark, root, _damaged, sf_dir)
     query = start_all(
         stream,
         ParquetTable(f"{root}/users", USERS),
@@ -222,7 +224,7 @@ def stream_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_product_interactions": ParquetTable(f"{root}/interactions", INTERACTIONS),
         "user_feedback": ParquetTable(f"{root}/feedback", FEEDBACK),
     }
-    stream = _archive(spark, root, messages(spark, sf_dir))
+    stream = _archive(spark, root, messages, sf_dir)
     query = start_curation(
         stream,
         Targets(*tables.values()),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.sources.jdbc import Jdbc, read_table
+from trolley.sources.jdbc import Jdbc, key_ranges, read_table
 
 Days = tuple[date, date]
 
@@ -121,8 +121,9 @@ class JdbcTable:
 
     Spark commits a JDBC append per partition, and a task whose commit was not acknowledged
     runs again. A unique key on the target closes that gap; the anti-join alone does not.
-    ``predicates`` split the lookup of stored keys over tasks. ``column_types`` is used if the
-    table has to be created, e.g. ``user_id varchar(64)``.
+    Stored keys are looked up over one connection per predicate; by default ranges of the
+    key's first hex digit, which fits UUIDs and md5 ids and covers any other key unevenly.
+    ``column_types`` is used if the table has to be created, e.g. ``user_id varchar(64)``.
     """
 
     db: Jdbc
@@ -140,7 +141,8 @@ class JdbcTable:
         return read_table(spark, self.db, self.name, predicates=self.predicates)
 
     def stored(self, spark: SparkSession, key: str, days: Days | None) -> DataFrame:
-        return self.read(spark).select(key)
+        ranges = key_ranges(self.db, key) if self.predicates is None else self.predicates
+        return read_table(spark, self.db, self.name, [key], predicates=ranges)
 
     def write(self, rows: DataFrame, batch_id: int = 0) -> None:
         self._writer(rows.select(*self.schema.fieldNames())).mode("append").save()
