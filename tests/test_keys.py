@@ -10,6 +10,7 @@ from trolley.operators import (
     broadcast_if_small,
     distinct_rows,
     earliest_per_key,
+    missing_reference_counts,
     missing_references,
     new_rows,
     recent_keys,
@@ -163,6 +164,16 @@ def test_missing_references_skip_null(spark):
         assert [r.product_id for r in got.collect()] == ["b"]
 
 
+def test_missing_reference_counts(spark):
+    facts = spark.createDataFrame(
+        [("a", "x"), ("b", "x"), ("b", "y"), (None, "z"), ("b", None)], "product_id string, category_id string"
+    )
+    products = spark.createDataFrame([("a",), ("a",)], "product_id string")
+    categories = spark.createDataFrame([("x",), ("y",), ("z",)], "category_id string")
+    counts = missing_reference_counts(facts, {"product_id": products, "category_id": categories})
+    assert sorted(map(tuple, counts.collect())) == [("category_id", 0), ("product_id", 3)]
+
+
 def test_recent_keys_drop_nothing_that_comes_late(spark, inbox, scratch):
     """Rows received years apart, newest first: the default watermark does not mind."""
     folder, out = f"{scratch}/in", []

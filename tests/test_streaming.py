@@ -21,6 +21,7 @@ from trolley.sinks import BatchFolders, JdbcTable, ParquetTable
 from trolley.sources import message_files
 from trolley.streaming import (
     await_query,
+    backfill,
     fan_out,
     land_json,
     land_parquet,
@@ -279,6 +280,35 @@ def test_empty_batch_writes_nothing(spark, scratch, inbox):
     assert fan_out(decode(inbox(["x"]).limit(0), CURATED_PAYLOAD), 0, Targets(users=table)) == {}
 
 
+def test_bytes_that_are_not_utf8(spark, scratch, inbox):
+    broken = F.concat(F.lit(b'{"user_id":"'), F.lit(b"\xff"), F.lit(b'"}'))
+    inbox(["x", '{"user_id":"a"}']).withColumn(
+        "value", F.when(F.col("offset") == 0, broken).otherwise(F.col("value"))
+    ).write.parquet(f"{scratch}/in")
+    stream = lambda: message_files(spark, f"{scratch}/in")
+    await_query(land_json(stream(), f"{scratch}/out", f"{scratch}/c1", trigger=DRAIN))
+    assert [r.value for r in spark.read.text(f"{scratch}/out").collect()] == ['{"user_id":"a"}']
+    await_query(
+        land_rejects(stream(), f"{scratch}/no", f"{scratch}/c2", trigger=DRAIN, keep="payload")
+    )
+    rejects = spark.read.schema(QUARANTINE).parquet(f"{scratch}/no")
+    assert [r.ingest_offset for r in rejects.select("ingest_offset").collect()] == [0]
+
+
+def test_backfill_completes_what_a_stream_began(spark, scratch, box):
+    tables = [
+        ParquetTable(f"{scratch}/users", USERS),
+        ParquetTable(f"{scratch}/interactions", INTERACTIONS, by_day=True),
+        ParquetTable(f"{scratch}/feedback", FEEDBACK),
+    ]
+    box.deliver(*[payload(f"u{n % 3}", n) for n in range(10)])
+    await_query(start_all(box.stream(), *tables, f"{scratch}/cp", trigger=DRAIN))
+    box.deliver(*[payload(f"u{n % 5}", n) for n in range(10)])
+    added = backfill(box.batch(), Targets(*tables), staging=f"{scratch}/staging")
+    assert added == {"users": 2, "user_product_interactions": 10, "user_feedback": 10}
+    assert set(backfill(box.batch(), Targets(*tables), repeats=False).values()) == {0}
+
+
 def test_interval_trigger(spark, scratch, box):
     table = ParquetTable(f"{scratch}/users", USERS)
     box.deliver(payload("a", 0))
@@ -321,5 +351,14 @@ def test_landing(spark, scratch, box):
     await_query(
         land_json(box.stream(), f"{scratch}/f", f"{scratch}/c4", trigger=DRAIN, keep="fields")
     )
+    await_query(
+        land_rejects(box.stream(), f"{scratch}/np", f"{scratch}/c5", trigger=DRAIN, keep="payload")
+    )
+    rejects = spark.read.schema(QUARANTINE).parquet(f"{scratch}/np").collect()
+    assert sorted((r.reason, r.raw_value) for r in rejects if r.raw_value) == [
+        ("malformed", '{"user_id":"b"} trailing'),
+        ("malformed", "{bad"),
+    ]
+    assert len(rejects) == 3
     row = json.loads(spark.read.text(f"{scratch}/f").where("value like '%\"a\"%'").first()[0])
     assert sorted(row) == ACTIVITY.fieldNames() and row["annual_income"] == 7

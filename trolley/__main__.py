@@ -53,6 +53,12 @@ def parser() -> argparse.ArgumentParser:
         "--trigger",
         help="interval such as '20 seconds', 'asap', or 'available' to drain and stop",
     )
+    run.add_argument(
+        "--keep",
+        choices=("payload", "fields"),
+        default="payload",
+        help="land-json: messages as sent or their known fields; land-rejects: what that leaves out",
+    )
     run.add_argument("--clock", choices=("event", "ingest"), default="event")
     run.add_argument("--staging", help="folder to stage batches in instead of memory")
     run.add_argument("--samples", type=int, default=0, help="rows to log before each write")
@@ -88,7 +94,7 @@ def _table(args: argparse.Namespace, name: str, schema: T.StructType, *, by_day:
     if args.jdbc_url:
         db = Jdbc(args.jdbc_url, args.jdbc_driver, properties(args.jdbc_properties))
         return JdbcTable(db, name, schema)
-    return ParquetTable(f"{args.tables}/{name}", schema, by_day=by_day)
+    return ParquetTable(f"{args.tables}/{name}", schema, by_day=by_day, rebalance=True)
 
 
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
@@ -109,16 +115,16 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     if args.job == "land-parquet":
         return land_parquet(messages, args.tables, args.checkpoint, by_day=True, **given)
     if args.job == "land-json":
-        if given.pop("batched"):
-            raise SystemExit("land-json writes messages as they are")
-        return land_json(messages, args.tables, args.checkpoint, **given)
+        return land_json(messages, args.tables, args.checkpoint, keep=args.keep, **given)
     if args.job == "land-rejects":
-        return land_rejects(messages, args.tables, args.checkpoint, **given)
+        return land_rejects(messages, args.tables, args.checkpoint, keep=args.keep, **given)
     given.update(
         quarantine=ParquetTable(f"{args.tables}/quarantine_{args.job}", QUARANTINE, by_day=True),
         metrics=BatchFolders(f"{args.tables}/metrics_{args.job}", METRICS),
         samples=args.samples,
         staging=args.staging,
+        # Kafka hands out an offset once per batch; archived files may overlap.
+        repeats=bool(args.messages),
     )
     users = _table(args, "users", USERS, by_day=False)
     interactions = _table(args, "user_product_interactions", INTERACTIONS, by_day=True)

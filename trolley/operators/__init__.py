@@ -9,7 +9,12 @@ from trolley.operators.dedup import (
     recent_keys,
 )
 from trolley.operators.keys import broadcast_if_small, new_rows
-from trolley.operators.quality import activity_rules, missing_references, rule_violations
+from trolley.operators.quality import (
+    activity_rules,
+    missing_reference_counts,
+    missing_references,
+    rule_violations,
+)
 from trolley.operators.sample import count_rows, sample_rows
 
 __all__ = [
@@ -24,6 +29,7 @@ __all__ = [
     "earliest_per_key",
     "feedback",
     "interactions",
+    "missing_reference_counts",
     "missing_references",
     "new_rows",
     "recent_keys",

@@ -41,14 +41,8 @@ def decode(
     projection by copying the expression, which would parse the text once per condition;
     they do not push them through a generator.
     """
-    rows = messages.select(
-        F.col("topic").alias("ingest_topic"),
-        F.col("partition").alias("ingest_partition"),
-        F.col("offset").alias("ingest_offset"),
-        F.col("timestamp").alias("ingest_ts"),
-        F.col("value").cast("string").alias("raw"),
-    )
-    rows = _split_arrays(rows) if batched else rows.withColumn("ingest_item", F.lit(None).cast("int"))
+    rows = _received(messages)
+    rows = _split_arrays(rows) if batched else rows
     readable = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = rows.select(
         *COORDINATES.fieldNames(),
@@ -65,13 +59,36 @@ def decode(
     )
 
 
+def unreadable(messages: DataFrame) -> DataFrame:
+    """Messages known not to be JSON, shaped like decoded records that were rejected."""
+    rows = _received(messages)
+    empty = F.coalesce(F.octet_length("raw"), F.lit(0)) == 0
+    return rows.select(
+        F.lit(None).cast("string").alias("user_id"),
+        *COORDINATES.fieldNames(),
+        F.when(empty, "empty").otherwise("malformed").alias("reject_reason"),
+        F.col("raw").alias("raw_value"),
+    )
+
+
+def _received(messages: DataFrame) -> DataFrame:
+    return messages.select(
+        F.col("topic").alias("ingest_topic"),
+        F.col("partition").alias("ingest_partition"),
+        F.col("offset").alias("ingest_offset"),
+        F.lit(None).cast("int").alias("ingest_item"),
+        F.col("timestamp").alias("ingest_ts"),
+        F.col("value").cast("string").alias("raw"),
+    )
+
+
 def _split_arrays(rows: DataFrame) -> DataFrame:
     """One row per array element; anything else, malformed or empty arrays included, stays whole."""
     elements = F.when(
         F.ltrim("raw", F.lit(_BLANK)).startswith("["),
         F.from_json("raw", T.ArrayType(T.StringType())),
     )
-    split = rows.select("*", F.posexplode_outer(elements).alias("ingest_item", "element"))
+    split = rows.drop("ingest_item").select("*", F.posexplode_outer(elements).alias("ingest_item", "element"))
     text = F.when(F.col("ingest_item").isNull(), F.col("raw")).otherwise(F.col("element"))
     return split.select(*COORDINATES.fieldNames(), text.alias("raw"))
 

@@ -18,6 +18,7 @@ from trolley.operators import (
     earliest_per_key,
     feedback,
     interactions,
+    missing_reference_counts,
     missing_references,
     new_rows,
     rejected,
@@ -346,6 +347,25 @@ def unknown_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_references(facts, products, "product_id").select("interaction_id", "product_id")
 
 
+@QUERIES.add(
+    f"""
+SELECT 'product_id' AS reference, count(*) AS n_missing FROM ({activity_sql("product_id")}) AS a
+WHERE NOT EXISTS (SELECT 1 FROM part AS p WHERE CAST(p.p_partkey AS VARCHAR) = a.product_id)
+UNION ALL
+SELECT 'category_id', count(*) FROM ({activity_sql("category_id")}) AS a
+WHERE NOT EXISTS (SELECT 1 FROM nation AS n
+                  WHERE n.n_regionkey < 3 AND concat('c', n.n_nationkey) = a.category_id)"""
+)
+def unknown_reference_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interactions per kind of reference that leads nowhere; nations of three regions play
+    the categories."""
+    products = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("product_id"))
+    categories = table(spark, sf_dir, "nation").where("n_regionkey < 3")
+    categories = categories.select(F.concat(F.lit("c"), "n_nationkey").alias("category_id"))
+    facts = interactions(_fact_records(spark, sf_dir))
+    return missing_reference_counts(facts, {"product_id": products, "category_id": categories})
+
+
 # --- output ---------------------------------------------------------------------------------
 
 

@@ -25,6 +25,7 @@ from trolley.sources import message_files
 from trolley.streaming import (
     Targets,
     await_query,
+    backfill,
     land_json,
     land_parquet,
     land_rejects,
@@ -100,6 +101,23 @@ def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.select("ingest_offset", "reason")
 
 
+@QUERIES.add(
+    """
+SELECT event_id AS ingest_offset, CASE event_type WHEN 'click' THEN 'malformed' ELSE 'empty' END AS reason
+FROM events WHERE event_type IN ('click', 'signup')"""
+)
+def landing_payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is not JSON at all."""
+    root = scratch_dir(spark, "landing_payload_rejects")
+    stream = _archive(spark, root, _damaged, sf_dir)
+    query = land_rejects(
+        stream, f"{root}/out", f"{root}/checkpoint", trigger=_DRAIN, keep="payload"
+    )
+    await_query(query)
+    landed = spark.read.schema(QUARANTINE).parquet(f"{root}/out")
+    return landed.select("ingest_offset", "reason")
+
+
 # --- curation -------------------------------------------------------------------------------
 
 _NEW_USERS = f"""
@@ -238,3 +256,27 @@ def stream_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, stored in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+@QUERIES.add(
+    """
+SELECT CAST(0 AS BIGINT) AS batch_id, 'users' AS table_name, count(DISTINCT user_id) AS n_rows FROM events
+UNION ALL SELECT 0, 'user_product_interactions', count(*) FROM events
+UNION ALL SELECT 0, 'user_feedback', count(*) FROM events
+UNION ALL SELECT 1, 'users', 0
+UNION ALL SELECT 1, 'user_product_interactions', 0
+UNION ALL SELECT 1, 'user_feedback', 0"""
+)
+def backfill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows added by reading the bounded messages once, and again."""
+    root = scratch_dir(spark, "backfill_counts")
+    targets = Targets(
+        ParquetTable(f"{root}/users", USERS),
+        ParquetTable(f"{root}/interactions", INTERACTIONS),
+        ParquetTable(f"{root}/feedback", FEEDBACK),
+        metrics=BatchFolders(f"{root}/metrics", METRICS),
+    )
+    sent = messages(spark, sf_dir)
+    for batch_id in range(2):
+        backfill(sent, targets, batch_id=batch_id)
+    return targets.metrics.read(spark).select(*METRICS.fieldNames())

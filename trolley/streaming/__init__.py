@@ -4,6 +4,7 @@ from trolley.streaming.fanout import Targets, fan_out
 from trolley.streaming.jobs import (
     EVERY_20_SECONDS,
     await_query,
+    backfill,
     start_all,
     start_curation,
     start_facts,
@@ -15,6 +16,7 @@ __all__ = [
     "EVERY_20_SECONDS",
     "Targets",
     "await_query",
+    "backfill",
     "fan_out",
     "land_json",
     "land_parquet",

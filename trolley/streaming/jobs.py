@@ -65,6 +65,25 @@ def start_curation(
     return writer.foreachBatch(write).start()
 
 
+def backfill(
+    messages: DataFrame,
+    targets: Targets,
+    *,
+    payload: T.StructType = CURATED_PAYLOAD,
+    batched: bool = False,
+    batch_id: int = 0,
+    **fan_out_options,
+) -> dict[str, int]:
+    """Curate a bounded frame of messages in one go and return the rows each table got.
+
+    Tables may already hold part of it. For more than fits the memory of the cluster give
+    ``staging``, or drain a stream with ``availableNow``, which works in batches.
+    """
+    targets.create(messages.sparkSession)
+    decoded = decode(messages, payload, batched=batched)
+    return fan_out(decoded, batch_id, targets, **fan_out_options)
+
+
 def start_users(
     messages: DataFrame,
     users: Table,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trolley.functions import WIRE_TIMESTAMP, compact_line, is_one_json
-from trolley.operators.decode import decode, rejected
+from trolley.operators.decode import decode, rejected, unreadable
 from trolley.schemas import ACTIVITY
 from trolley.streaming.jobs import Trigger
 
@@ -74,19 +74,31 @@ def land_json(
             "ignoreNullFields": "false",
         }
         return _start(rows, "json", path, checkpoint, trigger, [], **options)
-    text = F.col("value").cast("string")
-    lines = messages.where(is_one_json(text)).select(compact_line(text).alias("value"))
+    lines = messages.where(_is_payload()).select(compact_line(_text()).alias("value"))
     return _start(lines, "text", path, checkpoint, trigger, [])
 
 
+def _text() -> Column:
+    return F.col("value").cast("string")
+
+
+def _is_payload() -> Column:
+    """One JSON value of any type in valid UTF-8."""
+    return F.coalesce(F.is_valid_utf8(_text()), F.lit(False)) & is_one_json(_text())
+
+
 def land_rejects(
     messages: DataFrame,
     path: str,
     checkpoint: str,
     *,
     trigger: Trigger = None,
+    keep: Literal["payload", "fields"] = "fields",
     batched: bool = False,
 ) -> StreamingQuery:
-    """What ``land_parquet`` leaves out, with the reason, as quarantine rows."""
-    rows = rejected(decode(messages, batched=batched).where(~_is_record()))
+    """What landing with the same ``keep`` leaves out, with the reason, as quarantine rows."""
+    if keep == "payload":
+        rows = rejected(unreadable(messages.where(~_is_payload())))
+    else:
+        rows = rejected(decode(messages, batched=batched).where(~_is_record()))
     return _start(rows, "parquet", path, checkpoint, trigger, [])
