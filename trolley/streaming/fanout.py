@@ -98,7 +98,13 @@ def fan_out(
         n_good = extent.n - extent.n_rejected
 
         def store(
-            name: str, target: Table, key: str, rows: DataFrame, keys: DataFrame, n_bytes: int
+            name: str,
+            target: Table,
+            key: str,
+            rows: DataFrame,
+            keys: DataFrame,
+            bytes_bound: int,
+            strategy: str = "semi_first",
         ) -> None:
             stored = target.stored(batch.sparkSession, key, days)
             if stored is None:
@@ -108,9 +114,9 @@ def fan_out(
                     rows,
                     stored,
                     key,
-                    strategy="semi_first",
+                    strategy=strategy,
                     keys=keys,
-                    bytes_bound=n_bytes,
+                    bytes_bound=bytes_bound,
                     max_broadcast_bytes=max_broadcast_bytes,
                 )
                 counts[name] = _write_if_any(fresh, target, batch_id, samples)
@@ -118,7 +124,10 @@ def fan_out(
 
         def store_by_id(name: str, target: Table, key: str, rows: DataFrame, n: int) -> None:
             unique = drop_replays(rows, key) if repeats else rows
-            store(name, target, key, unique, rows, n * _ID_BYTES)
+            # Ids hardly repeat, so measuring the distinct ones would not find them smaller.
+            small = n * _ID_BYTES <= max_broadcast_bytes
+            strategy = "semi_first" if small else "direct"
+            store(name, target, key, unique, rows, n * _ID_BYTES, strategy)
 
         counts.update({name: 0 for name in targets.names()})
         if targets.quarantine is not None and extent.n_rejected > 0:
