@@ -50,7 +50,7 @@ FIELDS = {
         "ELSE 'Bank Transfer' END"
     ),
     "phone_number": "concat('+1-555-', event_id)",
-    "product_id": "CAST(event_id % 2500 AS VARCHAR(20))",
+    "product_id": "CAST(event_id % 25000 AS VARCHAR(20))",
     "session_duration": "CAST(1 + event_id % 2000 AS INT)",
     "start_date": "CAST(DATE '2020-01-01' + CAST(user_id % 1500 AS INT) AS TIMESTAMP)",
     "subscription_type": "CASE user_id % 3 WHEN 0 THEN 'Basic' WHEN 1 THEN 'Premium' ELSE 'Enterprise' END",
