@@ -253,9 +253,18 @@ def test_remembered_users(spark, scratch, box):
     box.deliver(payload("a", 0), payload("b", 1), "{bad", "{worse")
     box.deliver(payload("a", 2), payload("c", 3), "")
     query = start_users(
-        box.stream(), table, f"{scratch}/cp", quarantine=rejects, trigger=DRAIN, remember_users="1 hour"
+        box.stream(),
+        table,
+        f"{scratch}/cp",
+        quarantine=rejects,
+        trigger=DRAIN,
+        remember_users="1 hour",
+        n_state_partitions=3,
     )
     await_query(query)
+    state = query.lastProgress.stateOperators[0]
+    assert state.numShufflePartitions == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     assert names(table, spark) == [("a", "name 0"), ("b", "name 1"), ("c", "name 3")]
     assert rejects.read(spark).count() == 3
     with pytest.raises(ValueError):

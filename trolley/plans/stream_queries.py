@@ -19,7 +19,7 @@ from trolley.plans.batch_queries import (
 from trolley.plans.inputs import field_sql, messages, zoneless
 from trolley.plans.registry import Registry
 from trolley.schemas import ACTIVITY, FEEDBACK, INTERACTIONS, METRICS, QUARANTINE, USERS, narrowed
-from trolley.session import scratch_dir
+from trolley.session import scratch_dir, state_partitions
 from trolley.sinks import BatchFolders, ParquetTable
 from trolley.sources import message_files
 from trolley.streaming import (
@@ -165,13 +165,9 @@ def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _archive(spark, root, messages, sf_dir, "user_id", "subscription_type")
     records = accepted(decode(stream, narrowed("subscription_type")))
     rows = distinct_rows(records.select("user_id", "subscription_type"))
-    query = (
-        rows.writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .option("path", f"{root}/out")
-        .trigger(**_DRAIN)
-        .start()
-    )
+    writer = rows.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    with state_partitions(spark):
+        query = writer.option("path", f"{root}/out").trigger(**_DRAIN).start()
     await_query(query)
     return spark.read.schema(rows.schema).parquet(f"{root}/out")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +38,19 @@ def build(app_name: str, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[int]:
+    """Start a stateful query inside this to give its state ``n`` partitions, one per core by
+    default. The number cannot change while the checkpoint lives, and AQE does not adapt it."""
+    width = n or spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    try:
+        yield width
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

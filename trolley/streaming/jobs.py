@@ -13,6 +13,7 @@ from trolley.functions import record_id
 from trolley.operators.decode import decode
 from trolley.operators.dedup import recent_keys
 from trolley.schemas import CURATED_PAYLOAD, FACTS_PAYLOAD, USERS_PAYLOAD
+from trolley.session import state_partitions
 from trolley.sinks.tables import Table
 from trolley.streaming.fanout import Targets, fan_out
 
@@ -30,6 +31,7 @@ def start_curation(
     trigger: Trigger = None,
     batched: bool = False,
     remember_users: str | None = None,
+    n_state_partitions: int | None = None,
     name: str | None = None,
     **fan_out_options,
 ) -> StreamingQuery:
@@ -38,7 +40,8 @@ def start_curation(
     ``checkpoint`` holds the progress of the query and belongs on storage that outlives it.
     ``remember_users`` (an interval, for jobs that fill ``users`` only) lets the query drop
     users seen that recently before they reach a batch. It keeps any, not always the earliest,
-    of several records that one batch holds for a user.
+    of several records that one batch holds for a user. Its state has one partition per core
+    unless ``n_state_partitions`` says otherwise, from the first run on.
     """
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
@@ -62,7 +65,11 @@ def start_curation(
         writer = writer.queryName(name)
     if trigger is not None:
         writer = writer.trigger(**trigger)
-    return writer.foreachBatch(write).start()
+    writer = writer.foreachBatch(write)
+    if remember_users is None:
+        return writer.start()
+    with state_partitions(messages.sparkSession, n_state_partitions):
+        return writer.start()
 
 
 def backfill(
