@@ -216,15 +216,25 @@ def test_replayed_messages_within_and_across_batches(spark, scratch, box):
     assert len(stored) == 10 == len(set(stored))
 
 
-def test_one_user_holding_most_rows(spark, scratch, box):
+@pytest.mark.parametrize("max_broadcast_bytes", [0, 20_000, 1 << 20])
+def test_one_user_holding_most_rows(spark, scratch, box, max_broadcast_bytes):
+    """Keys are never broadcast, only once made distinct, or as they are."""
     table, facts = ParquetTable(f"{scratch}/u", USERS), ParquetTable(f"{scratch}/i", INTERACTIONS)
     said = ParquetTable(f"{scratch}/f", FEEDBACK)
     box.deliver(*[payload("hot" if n % 3 else f"u{n}", n) for n in range(300)])
     query = start_all(
-        box.stream(), table, facts, said, f"{scratch}/cp", trigger=DRAIN, max_broadcast_bytes=0
+        box.stream(),
+        table,
+        facts,
+        said,
+        f"{scratch}/cp",
+        trigger=DRAIN,
+        max_broadcast_bytes=max_broadcast_bytes,
     )
     await_query(query)
-    assert table.read(spark).count() == 101 and facts.read(spark).count() == 300
+    expected = sorted([("hot", "name 1"), *((f"u{n}", f"name {n}") for n in range(0, 300, 3))])
+    assert names(table, spark) == expected
+    assert facts.read(spark).count() == said.read(spark).count() == 300
 
 
 def test_staged_batches_give_the_same(spark, scratch, box):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from trolley.operators.curate import Clock, feedback, interactions, users
 from trolley.operators.decode import accepted, rejected
 from trolley.operators.dedup import ARRIVAL, drop_replays, earliest_per_key
-from trolley.operators.keys import BROADCAST_BYTES, key_bytes, new_rows
+from trolley.operators.keys import BROADCAST_BYTES, key_bytes, measured_bytes, new_rows
 from trolley.operators.sample import sample_rows
 from trolley.schemas import METRICS
 from trolley.sinks.tables import BatchFolders, Table
@@ -102,32 +102,51 @@ def fan_out(
             target: Table,
             key: str,
             rows: DataFrame,
+            *,
+            once: Callable[[DataFrame], DataFrame],
             keys: DataFrame,
-            bytes_bound: int,
-            strategy: str = "semi_first",
+            n_bytes: int,
+            keys_repeat: bool,
         ) -> None:
+            """Write the rows of ``rows`` that are new, after ``once`` made them one per key."""
             stored = target.stored(batch.sparkSession, key, days)
             if stored is None:
-                counts[name] = _write(rows, target, batch_id, samples)
+                counts[name] = _write(once(rows), target, batch_id, samples)
             else:
-                fresh = new_rows(
-                    rows,
-                    stored,
-                    key,
-                    strategy=strategy,
-                    keys=keys,
-                    bytes_bound=bytes_bound,
-                    max_broadcast_bytes=max_broadcast_bytes,
-                )
+                small = n_bytes <= max_broadcast_bytes
+                if not small and keys_repeat:
+                    keys = keys.select(key).distinct()
+                    small = measured_bytes(keys) <= max_broadcast_bytes
+                if small:
+                    # Known rows leave without a shuffle, so the others go through ``once``.
+                    fresh = once(
+                        new_rows(
+                            rows,
+                            stored,
+                            key,
+                            strategy="semi_first",
+                            keys=keys,
+                            bytes_bound=max_broadcast_bytes,
+                            max_broadcast_bytes=max_broadcast_bytes,
+                        )
+                    )
+                else:
+                    # ``once`` shuffles by key and evens out hot keys for the join behind it.
+                    fresh = new_rows(once(rows), stored, key)
                 counts[name] = _write_if_any(fresh, target, batch_id, samples)
             log.info("batch %s: %s rows into %s", batch_id, counts[name], name)
 
         def store_by_id(name: str, target: Table, key: str, rows: DataFrame, n: int) -> None:
-            unique = drop_replays(rows, key) if repeats else rows
-            # Ids hardly repeat, so measuring the distinct ones would not find them smaller.
-            small = n * _ID_BYTES <= max_broadcast_bytes
-            strategy = "semi_first" if small else "direct"
-            store(name, target, key, unique, rows, n * _ID_BYTES, strategy)
+            store(
+                name,
+                target,
+                key,
+                rows,
+                once=lambda df: drop_replays(df, key) if repeats else df,
+                keys=rows,
+                n_bytes=n * _ID_BYTES,
+                keys_repeat=False,
+            )
 
         counts.update({name: 0 for name in targets.names()})
         if targets.quarantine is not None and extent.n_rejected > 0:
@@ -136,8 +155,16 @@ def fan_out(
             )
         if n_good > 0:
             if targets.users is not None:
-                first = earliest_per_key(users(good, *ARRIVAL), "user_id")
-                store("users", targets.users, "user_id", first, good, extent.user_bytes)
+                store(
+                    "users",
+                    targets.users,
+                    "user_id",
+                    users(good, *ARRIVAL),
+                    once=lambda df: earliest_per_key(df, "user_id"),
+                    keys=good,
+                    n_bytes=extent.user_bytes,
+                    keys_repeat=True,
+                )
             if targets.interactions is not None:
                 facts = interactions(good, "ingest_ts", clock=clock)
                 store_by_id(
