@@ -4,10 +4,11 @@ import pytest
 from check_queries import compare, views
 
 import __spark_entry__ as registered
+from trolley import plans
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = registered.queries()
-SQL = registered.oracle_sql()
+QUERIES = plans.queries()
+SQL = plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,8 @@ def db():
 
 def test_all_have_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
 def test_entry(spark):
