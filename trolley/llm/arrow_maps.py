@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,14 +30,36 @@ def map_batches(
     function: Callable[[Batches], Iterator[pa.RecordBatch]],
 ) -> DataFrame:
     """``function`` over the Arrow batches of ``rows``; the result starts with ``doc_id``."""
+    _importable(rows)
     schema = T.StructType([rows.schema["doc_id"], *fields])
     return rows.mapInArrow(function, schema)
 
 
+def _importable(rows: DataFrame) -> None:
+    """Let the Python workers of a local session import this package wherever it was started
+    (on a cluster it comes by ``--py-files`` or is installed)."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = rows.sparkSession.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def small(batches: Batches, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes, a larger row alone: what Python
+    objects an operator makes per batch stays bounded."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(column(batch, "text")), 0)
+        filled = np.cumsum(lengths.to_numpy(zero_copy_only=False)) // size
+        cuts = np.flatnonzero(np.diff(filled)) + 1
+        for first, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            yield batch.slice(first, end - first)
+
+
 def texts_of(batch: pa.RecordBatch) -> list[str]:
     """Texts of a batch; null reads as empty."""
     return [value or "" for value in column(batch, "text").to_pylist()]

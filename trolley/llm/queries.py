@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import decontamination, secrets_scan, sentencepiece_codec
+from trolley.llm import decontamination, quality, secrets_scan, sentencepiece_codec, toxicity
 from trolley.llm.arrow_maps import sha256_of
 
 #: Where the vocabulary files of public tokenizers lie, the same on every machine.
@@ -45,6 +45,17 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    model = toxicity.train(documents, read(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model).select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets_scan.secrets(read(spark, sf_dir, "documents"))
 
@@ -59,10 +70,17 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    return quality.resample(documents, quality.fit(documents, read(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_toxicity": op6_toxicity,
     "op8_secrets": op8_secrets,
+    "op9_quality": op9_quality,
 }
 
 SQL: dict[str, str] = {
