@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import decontamination, quality, secrets_scan, sentencepiece_codec, toxicity
+from trolley.llm import (
+    decontamination,
+    line_dedup,
+    quality,
+    secrets_scan,
+    sentencepiece_codec,
+    toxicity,
+)
 from trolley.llm.arrow_maps import sha256_of
 
 #: Where the vocabulary files of public tokenizers lie, the same on every machine.
@@ -35,6 +42,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", sha256_of(F.col("kept")).alias("kept_sha256"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = sentencepiece_codec.encode(read(spark, sf_dir, "documents"), PIECE_MODEL)
     return sentencepiece_codec.decode(ids, PIECE_MODEL).select(
@@ -77,6 +89,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_line_dedup": op3_line_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_toxicity": op6_toxicity,
     "op8_secrets": op8_secrets,
@@ -110,4 +123,19 @@ SQL: dict[str, str] = {
           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
     """,
+    "op3_line_dedup": r"""
+        WITH lines AS (
+          SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents) AS d,
+            LATERAL (SELECT unnest(parts) AS line, generate_subscripts(parts, 1) AS i)),
+        repeated AS (
+          SELECT key, min(doc_id) AS smallest FROM lines WHERE length(key) >= 10
+          GROUP BY key HAVING count(DISTINCT doc_id) > 1)
+        SELECT doc_id, count(*) AS n_lines,
+          count(*) FILTER (smallest IS NOT NULL AND doc_id <> smallest) AS n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (smallest IS NULL OR doc_id = smallest), ''))
+            AS kept_sha256
+        FROM lines LEFT JOIN repeated ON lines.key = repeated.key GROUP BY doc_id
+    """,
 }
