@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trolley.llm import (
     decontamination,
     line_dedup,
+    ngram_join,
     quality,
     secrets_scan,
     sentencepiece_codec,
@@ -68,6 +69,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_components(read(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets_scan.secrets(read(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_toxicity": op6_toxicity,
+    "op7_ngram_join": op7_ngram_join,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
 }
@@ -138,4 +144,24 @@ SQL: dict[str, str] = {
             AS kept_sha256
         FROM lines LEFT JOIN repeated ON lines.key = repeated.key GROUP BY doc_id
     """,
+    "op7_ngram_join": r"""
+        WITH RECURSIVE d AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingle AS (
+          SELECT DISTINCT doc_id, array_to_string(list_slice(w, CAST(s AS INT), CAST(s AS INT) + 2), ' ') AS g
+          FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS t(s) WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+        pairs AS (
+          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+          FROM shingle AS x JOIN shingle AS y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+        links AS (
+          SELECT a, b FROM pairs JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+          WHERE 100 * common >= 90 * (x.n + y.n - common)),
+        reach(doc_id, root) AS (
+          SELECT doc_id, doc_id FROM d UNION SELECT links.b, root FROM reach JOIN links ON reach.doc_id = links.a)
+        SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(root) AS component_id
+        FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id JOIN reach ON reach.doc_id = d.doc_id
+        GROUP BY d.doc_id, n
+    """,
 }
