@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.llm.arrow_maps import Batches, column, map_batches, narrow, texts_of
+from trolley.llm.arrow_maps import Batches, column, map_batches, narrow, small, texts_of
 
 # The patterns and least lengths of the contract.
 _ASSIGN = re.compile(
@@ -178,7 +178,7 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
 
 
 def _scan(batches: Batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         spans = [
             [{"kind": kind, "start": start, "end": end} for kind, start, end in spans_of(text)]
             for text in texts_of(batch)

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from trolley.llm.arrow_maps import Batches, column, map_batches, narrow, texts_of
+from trolley.llm.arrow_maps import Batches, column, map_batches, narrow, small, texts_of
 
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
@@ -58,7 +58,7 @@ class _Encode:
         end = array("i", [model.eos_id()]).tobytes()
         lone = {"": array("i", [model.piece_to_id(MARK)]).tobytes()}
         table = dict(lone)
-        for batch in batches:
+        for batch in small(batches):
             words = [chunks_of(text) for text in texts_of(batch)]
             new = list({word for line in words for word in line if word not in table})
             for word, ids in zip(new, model.encode(new, num_threads=1)):
@@ -98,7 +98,7 @@ def encode(
     *,
     doc_id: str = "doc_id",
     text: str = "text",
-    table_words: int = 1 << 20,
+    table_words: int = 1 << 18,
 ) -> DataFrame:
     """``doc_id`` and ``ids``, ending in the end id; ``model_file`` is a path that every
     executor can open."""
