@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from trolley.llm import (
     decontamination,
+    fingerprints,
     line_dedup,
     ngram_join,
     quality,
@@ -92,6 +93,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(documents, quality.fit(documents, read(spark, sf_dir, "labels")))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edited(read(spark, sf_dir, "documents"))
+    return found.withColumn("edited_sha256", sha256_of(F.col("edited"))).drop("edited")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_line_dedup": op3_line_dedup,
@@ -100,6 +106,7 @@ QUERIES = {
     "op7_ngram_join": op7_ngram_join,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 SQL: dict[str, str] = {
