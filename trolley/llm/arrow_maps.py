@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trolley.session import scratch_dir
+
 Batches = Iterable[pa.RecordBatch]
 
 
@@ -45,6 +47,14 @@ def _importable(rows: DataFrame) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
+def saved(table: DataFrame, label: str) -> DataFrame:
+    """``table`` written below ``spark.checkpoint.dir`` and read back: whoever loses an executor
+    later reads it again instead of making it again."""
+    path = scratch_dir(table.sparkSession, label)
+    table.write.option("compression", "zstd").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

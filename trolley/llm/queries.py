@@ -17,6 +17,8 @@ from trolley.llm import (
     quality,
     secrets_scan,
     sentencepiece_codec,
+    substring_dedup,
+    suffix_dedup,
     toxicity,
 )
 from trolley.llm.arrow_maps import sha256_of
@@ -44,11 +46,27 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup_spans(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", sha256_of(F.col("kept")).alias("kept_sha256"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", sha256_of(F.col("kept")).alias("kept_sha256"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.dedup_bytes(read(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = sentencepiece_codec.encode(read(spark, sf_dir, "documents"), PIECE_MODEL)
     return sentencepiece_codec.decode(ids, PIECE_MODEL).select(
@@ -100,7 +118,9 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_join": op7_ngram_join,
@@ -171,4 +191,22 @@ SQL: dict[str, str] = {
         FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id JOIN reach ON reach.doc_id = d.doc_id
         GROUP BY d.doc_id, n
     """,
+    "op2_substring_dedup": r"""
+        WITH d AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        cut AS (
+          SELECT doc_id, s, array_to_string(list_slice(w, CAST(s AS INT), CAST(s AS INT) + 34), ' ') AS g
+          FROM d, unnest(range(1, len(w) - 33)) AS t(s) WHERE len(w) >= 35),
+        again AS (SELECT g FROM cut GROUP BY g HAVING count(*) > 1),
+        gone AS (
+          SELECT DISTINCT doc_id, s + k AS i
+          FROM cut JOIN again ON cut.g = again.g, unnest(range(0, 35)) AS t(k)),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+        kept AS (
+          SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS kept, count(*) AS n
+          FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i GROUP BY words.doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+          sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+    """,
 }
