@@ -47,6 +47,40 @@ def _importable(rows: DataFrame) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def append(
+    docs: DataFrame,
+    fields: list[T.StructField],
+    function: Callable[[Batches], Iterator[pa.RecordBatch]],
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """``docs`` with more columns, row by row: ``function`` sees (doc_id, text) batches and its
+    columns of the names of ``fields`` come last, renamed where ``docs`` has such a name."""
+    _importable(docs)
+    wanted = [field.name for field in fields]
+    names = [fresh(docs, name) for name in wanted]
+    types = [T.StructField(name, field.dataType) for name, field in zip(names, fields)]
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            view = pa.record_batch([column(batch, doc_id), column(batch, text)], ["doc_id", "text"])
+            made = pa.Table.from_batches(list(function([view]))).combine_chunks()
+            arrays = [made.column(name).chunk(0) for name in wanted] if batch.num_rows else []
+            if batch.num_rows:
+                yield pa.record_batch([*batch.columns, *arrays], [*batch.schema.names, *names])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *types]))
+
+
 def saved(table: DataFrame, label: str) -> DataFrame:
     """``table`` written below ``spark.checkpoint.dir`` and read back: whoever loses an executor
     later reads it again instead of making it again."""

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.llm.arrow_maps import Batches, column, map_batches, narrow
+from trolley.llm.arrow_maps import Batches, append, column, fresh, map_batches, narrow
 
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 _NORMAL = bytes(
@@ -192,7 +192,18 @@ def contaminations(
     automaton (some 40 bytes of memory per byte); more than that are scanned part after part by
     the same task, and beyond ``group_bytes`` by one pass over the documents per group.
     """
-    spark = docs.sparkSession
+    rows = narrow(docs, doc_id, text)
+    for scan, last in _scans(items, window, item_id, item_text, part_bytes, group_bytes):
+        kept = [] if last else [T.StructField("text", T.StringType())]
+        rows = map_batches(rows, kept + HITS, scan)
+        if not last:
+            rows = rows.checkpoint()
+    return rows
+
+
+def _scans(items: DataFrame, window: int, item_id: str, item_text: str, part_bytes: int, group_bytes: int):
+    """The passes over the documents, one as a rule, and whether they are the last."""
+    spark = items.sparkSession
     windows = item_windows(items, item_id, item_text, window)
     size = windows.agg(
         F.sum(F.octet_length("window") + F.octet_length(F.array_join("item_ids", ",")))
@@ -201,25 +212,39 @@ def contaminations(
     per_group = max(1, group_bytes // part_bytes)
     part = F.pmod(F.xxhash64("window"), F.lit(n_parts))
 
-    def scan(rows: DataFrame, parts: range) -> DataFrame:
+    for first in range(0, n_parts, per_group):
+        end = min(first + per_group, n_parts)
         broadcasts = [
             spark.sparkContext.broadcast(
                 [tuple(row) for row in windows.where(part == n).toLocalIterator()]
             )
-            for n in parts
+            for n in range(first, end)
         ]
-        last = parts.stop == n_parts
-        kept = [] if last else [T.StructField("text", T.StringType())]
-        return map_batches(rows, kept + HITS, _Scan(broadcasts, 8 * part_bytes, last))
-
-    rows = narrow(docs, doc_id, text)
-    for first in range(0, n_parts, per_group):
-        rows = scan(rows, range(first, min(first + per_group, n_parts)))
-        if first + per_group < n_parts:
-            rows = rows.checkpoint()
-    return rows
+        yield _Scan(broadcasts, 8 * part_bytes, end == n_parts), end == n_parts
 
 
 def is_contaminated():
     """The contract's rule: a twentieth of the words, and at least one, occur in an item."""
-    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    return _rule("n_hit", "n_words")
+
+
+def _rule(n_hit: str, n_words: str):
+    return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
+
+
+def clean(
+    docs: DataFrame,
+    items: DataFrame,
+    *,
+    window: int = 13,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    part_bytes: int = 4 << 20,
+) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their own columns. All windows are
+    one group here; a contaminated document is so by all items together."""
+    (scan, _), = _scans(items, window, item_id, item_text, part_bytes, 1 << 62)
+    n_words, n_hit = (fresh(docs, field.name) for field in HITS[:2])
+    return append(docs, HITS[:2], scan, doc_id=doc_id, text=text).where(~_rule(n_hit, n_words)).drop(n_words, n_hit)

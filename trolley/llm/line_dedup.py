@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.llm.arrow_maps import Batches, column, map_batches, narrow, small
+from trolley.llm.arrow_maps import Batches, column, fresh, map_batches, narrow, small
 from trolley.llm.cuckoo import CuckooFilter
 from trolley.session import scratch_dir
 
@@ -238,38 +238,65 @@ KEPT = [
 ]
 
 
+def _with_keys(docs: DataFrame, index: LineIndex, doc_id: str, name: str) -> DataFrame:
+    """``docs`` with the keys that each row's document drops."""
+    dropping = fresh(docs, "dropping")
+    drops = index.drops().select(F.col("doc_id").alias(dropping), F.col("keys").alias(name))
+    own = F.coalesce(docs[doc_id].cast("long"), F.lit(_NULL_ID))
+    return docs.join(drops, own == drops[dropping], "left").drop(dropping)
+
+
+def _cutter(least_chars: int):
+    def cut(batch: pa.RecordBatch, text: str, keys: str) -> list[pa.Array]:
+        """Lines before, lines dropped, and text kept, of each row."""
+        kept, n_lines, n_dropped = [], [], []
+        for value, gone in zip(column(batch, text), column(batch, keys)):
+            lines = (value.as_py() or "").encode().split(b"\n")
+            n_lines.append(len(lines))
+            lost = set(gone.as_py() or ())
+            if lost:
+                lines = [line for line in lines if key_of(line, least_chars) not in lost]
+            n_dropped.append(n_lines[-1] - len(lines))
+            kept.append(b"\n".join(lines))
+        return [
+            pa.array(n_lines, pa.int64()),
+            pa.array(n_dropped, pa.int64()),
+            pa.array(kept, pa.binary()).cast(pa.string()),
+        ]
+
+    return cut
+
+
 def cut_lines(docs: DataFrame, index: LineIndex, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_lines`` (before), ``n_dropped`` and the text that is ``kept``, one row
     per row of ``docs``, all of which are in the index."""
-    rows = narrow(docs, doc_id, text)
-    least_chars = index.least_chars
-    drops = index.drops().withColumnRenamed("doc_id", "dropping")
-    marked = rows.join(
-        drops, F.coalesce(rows["doc_id"].cast("long"), F.lit(_NULL_ID)) == drops["dropping"], "left"
-    ).select("doc_id", "text", "keys")
+    cut = _cutter(index.least_chars)
 
-    def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            kept, n_lines, n_dropped = [], [], []
-            for text, keys in zip(column(batch, "text"), column(batch, "keys")):
-                lines = (text.as_py() or "").encode().split(b"\n")
-                n_lines.append(len(lines))
-                lost = set(keys.as_py() or ())
-                if lost:
-                    lines = [line for line in lines if key_of(line, least_chars) not in lost]
-                n_dropped.append(n_lines[-1] - len(lines))
-                kept.append(b"\n".join(lines))
             yield pa.record_batch(
-                [
-                    column(batch, "doc_id"),
-                    pa.array(n_lines, pa.int64()),
-                    pa.array(n_dropped, pa.int64()),
-                    pa.array(kept, pa.binary()).cast(pa.string()),
-                ],
+                [column(batch, "doc_id"), *cut(batch, "text", "keys")],
                 ["doc_id", *(field.name for field in KEPT)],
             )
 
-    return map_batches(marked, KEPT, cut)
+    return map_batches(_with_keys(narrow(docs, doc_id, text), index, "doc_id", "keys"), KEPT, run)
+
+
+def rewritten(docs: DataFrame, *, least_chars: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with the kept lines as text, and ``n_chars``, if there, counted anew."""
+    index = LineIndex.empty(docs.sparkSession, least_chars=least_chars).insert(docs, doc_id=doc_id, text=text)
+    keys, cut = fresh(docs, "keys"), _cutter(least_chars)
+    names = docs.columns
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = cut(batch, text, keys)[2]
+            yield pa.record_batch([kept if name == text else column(batch, name) for name in names], names)
+
+    changed = _with_keys(docs, index, doc_id, keys).mapInArrow(run, docs.schema)
+    if "n_chars" in names:
+        changed = changed.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
+    return changed
 
 
 def dedup_lines(docs: DataFrame, *, least_chars: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.llm.arrow_maps import Batches, column, map_batches, narrow
+from trolley.llm.arrow_maps import Batches, append, column, fresh, map_batches, narrow, saved
 from trolley.llm.components import components
 from trolley.llm.trie import SetTrie
 from trolley.llm.word_hashes import Prefixes, mix, runs_of, slices, text_buffer
@@ -90,8 +90,15 @@ def _binary16(values: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(values.tobytes())])
 
 
-def set_digests(rows: DataFrame, n: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``digest`` and ``node`` (half a digest) of each row's set."""
+SET = [
+    T.StructField("n_shingles", T.LongType()),
+    T.StructField("digest", T.BinaryType()),
+    T.StructField("node", T.LongType()),
+]
+
+
+def _digester(n: int):
+    """``n_shingles``, ``digest`` and ``node`` (half a digest) of each row's set."""
 
     def digest(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,12 +113,7 @@ def set_digests(rows: DataFrame, n: int) -> DataFrame:
                 ["doc_id", "n_shingles", "digest", "node"],
             )
 
-    fields = [
-        T.StructField("n_shingles", T.LongType()),
-        T.StructField("digest", T.BinaryType()),
-        T.StructField("node", T.LongType()),
-    ]
-    return map_batches(rows, fields, digest)
+    return digest
 
 
 def shingle_counts(rows: DataFrame, n: int) -> np.ndarray:
@@ -185,7 +187,8 @@ def families(postings: DataFrame, percent: int) -> DataFrame:
     kept = postings.join(shared, "doc_id", "left_semi")
     # linked sets differ in size by 100 / percent at most, hence by one band at most
     band = F.floor(F.log("n_shingles") / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("n_shingles")
-    near = kept.select("doc_id", "node", F.explode(F.array(band, band - 1)).alias("band")).checkpoint()
+    near = kept.select("doc_id", "node", F.explode(F.array(band, band - 1)).alias("band"))
+    near = saved(near, "near-postings")
     hubs = near.groupBy("doc_id", "band").agg(F.min("node").alias("hub"))
     edges = near.join(hubs, ["doc_id", "band"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
     found = components(edges)
@@ -279,29 +282,18 @@ def _tiled(members: DataFrame, tile: int) -> DataFrame:
     )
 
 
-def near_components(
-    docs: DataFrame,
-    *,
-    n: int = 3,
-    percent: int = 90,
-    tile: int = 1_000,
-    doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest ``doc_id`` reachable by
-    links), one row per row of ``docs``."""
-    rows = narrow(docs, doc_id, text)
-    sets = set_digests(rows, n).checkpoint()
+def _components_of(rows: DataFrame, sets: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
+    """``digest`` and ``component_id`` of every set that is not empty."""
     classes = (
         sets.where("n_shingles > 0")
         .groupBy("digest")
         .agg(F.min("doc_id").alias("smallest"), F.any_value("node").alias("node"))
     )
-    postings = prefix_postings(rows, n, percent, shingle_counts(rows, n)).checkpoint()
+    postings = saved(prefix_postings(rows, n, percent, shingle_counts(rows, n)), "postings")
     found = families(postings, percent)
     members = classes.join(found, "node").select("family", "digest", "smallest")
     texts = (
-        _tiled(members.checkpoint(), tile)
+        _tiled(saved(members, "families"), tile)
         .withColumnRenamed("smallest", "doc_id")
         .join(rows, "doc_id")
         .select("bin", "family", "low", "high", "tile", "digest", "text")
@@ -312,7 +304,58 @@ def near_components(
         "digest", "smallest", F.coalesce("root", "digest").alias("root")
     )
     smallest = classed.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named = classed.join(smallest, "root").select("digest", "component_id")
+    return classed.join(smallest, "root").select("digest", "component_id")
+
+
+def near_components(
+    docs: DataFrame,
+    *,
+    n: int = 3,
+    percent: int = 90,
+    tile: int = 1_000,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest ``doc_id`` reachable by
+    links), one row per row of ``docs``."""
+    rows = narrow(docs, doc_id, text)
+    sets = saved(map_batches(rows, SET, _digester(n)), "shingle-sets")
+    named = _components_of(rows, sets, n, percent, tile)
     return sets.join(named, "digest", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def firsts(
+    docs: DataFrame,
+    *,
+    n: int = 3,
+    percent: int = 90,
+    tile: int = 1_000,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with their own columns, that are the first of their component: one
+    row of each group stays. Rows without a word are in no group and all stay."""
+    rows = narrow(docs, doc_id, text)
+    size, digest, node = (fresh(docs, field.name) for field in SET)
+    tagged = append(docs, SET, _digester(n), doc_id=doc_id, text=text)
+    sets = saved(
+        tagged.select(
+            F.col(doc_id).alias("doc_id"),
+            *(F.col(name).alias(field.name) for name, field in zip((size, digest, node), SET)),
+        ),
+        "shingle-sets",
+    )
+    component = fresh(docs, "component_id")
+    named = _components_of(rows, sets, n, percent, tile).select(
+        F.col("digest").alias(digest), F.col("component_id").alias(component)
+    )
+    kept = tagged.join(named, digest, "left").where(
+        (F.col(size) == 0) | F.col(component).isNull() | (F.col(component) == F.col(doc_id))
+    )
+    grouped = sets.where("n_shingles > 0").groupBy("doc_id", "digest").count()
+    if not grouped.where("count > 1").isEmpty():  # rows repeated as a whole: one of them
+        empty, some = kept.where(F.col(size) == 0), kept.where(F.col(size) > 0)
+        kept = some.dropDuplicates([doc_id, digest]).unionByName(empty)
+    return kept.select(*(F.col(f"`{name}`") for name in docs.columns))

@@ -19,11 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.llm.arrow_maps import Batches, column, map_batches, narrow
+from trolley.llm.arrow_maps import Batches, append, column, fresh, map_batches, narrow, saved
 from trolley.llm.word_hashes import Prefixes, mix, runs_of, slices, text_buffer
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -124,9 +124,11 @@ def log_ratio(target: np.ndarray, raw: np.ndarray, buckets: int, smoothing: floa
     return logs(target) - logs(raw)
 
 
-def importances(rows: DataFrame, logs: np.ndarray, buckets: int) -> DataFrame:
-    """``doc_id`` and ``log_weight`` of (doc_id, text) rows."""
-    known = rows.sparkSession.sparkContext.broadcast(logs)  # N_FAMILIES * buckets numbers
+WEIGHT = T.StructField("log_weight", T.DoubleType())
+
+
+def _weigher(spark: SparkSession, logs: np.ndarray, buckets: int):
+    known = spark.sparkContext.broadcast(logs)  # N_FAMILIES * buckets numbers
 
     def weigh(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,7 +139,12 @@ def importances(rows: DataFrame, logs: np.ndarray, buckets: int) -> DataFrame:
                     weights[docs[0] : docs[0] + len(part)] += part
             yield pa.record_batch([column(batch, "doc_id"), pa.array(weights)], ["doc_id", "log_weight"])
 
-    return map_batches(rows, [T.StructField("log_weight", T.DoubleType())], weigh)
+    return weigh
+
+
+def importances(rows: DataFrame, logs: np.ndarray, buckets: int) -> DataFrame:
+    """``doc_id`` and ``log_weight`` of (doc_id, text) rows."""
+    return map_batches(rows, [WEIGHT], _weigher(rows.sparkSession, logs, buckets))
 
 
 def best_threshold(weights: np.ndarray, good: np.ndarray, cost: float) -> float:
@@ -242,9 +249,39 @@ def resample(
         weighed = rows.select("doc_id", F.lit(0.0).alias("log_weight"))
     else:
         weighed = importances(rows, ratio.logs, buckets)
-    keyed = weighed.withColumn("key", F.col("log_weight") / temperature + gumbel("doc_id", seed)).checkpoint()
+    keyed = weighed.withColumn("key", _key("log_weight", "doc_id", temperature, seed)).checkpoint()
+    cut = _cut(keyed, "log_weight", "key", ratio, keep)
+    return keyed.withColumn("selected", F.col("key") >= cut)
+
+
+def _key(weight: str, doc_id: str, temperature: float, seed: int) -> Column:
+    return F.col(weight) / temperature + gumbel(doc_id, seed)
+
+
+def _cut(keyed: DataFrame, weight: str, key: str, ratio: Ratio | None, keep: float | None) -> float:
+    """The smallest key that is selected."""
     least = -float("inf") if ratio is None else ratio.threshold
-    n, worthy = keyed.agg(F.count("*"), F.count_if(F.col("log_weight") >= least)).first()
+    n, worthy = keyed.agg(F.count("*"), F.count_if(F.col(weight) >= least)).first()
     k = round(keep * n) if keep is not None else worthy
-    cut = kth_largest(keyed, "key", k) if k else float("inf")
-    return keyed.withColumn("selected", F.col("key") >= cut)
+    return kth_largest(keyed, key, k) if k else float("inf")
+
+
+def selected(
+    docs: DataFrame,
+    ratio: Ratio | None,
+    *,
+    keep: float | None = None,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    buckets: int = 1 << 13,
+    temperature: float = 0.1,
+    seed: int = 9,
+) -> DataFrame:
+    """The rows of ``docs`` that ``resample`` selects, with their own columns."""
+    if ratio is None:
+        return docs
+    weight, key = fresh(docs, "log_weight"), fresh(docs, "key")
+    weigh = _weigher(docs.sparkSession, ratio.logs, buckets)
+    weighed = append(docs, [WEIGHT], weigh, doc_id=doc_id, text=text)
+    keyed = saved(weighed.withColumn(key, _key(weight, doc_id, temperature, seed)), "weighed")
+    return keyed.where(F.col(key) >= _cut(keyed, weight, key, ratio, keep)).drop(weight, key)

@@ -23,11 +23,6 @@ from trolley.llm import (
 )
 from trolley.llm.arrow_maps import sha256_of
 
-#: Where the vocabulary files of public tokenizers lie, the same on every machine.
-TOKENIZERS = "/opt/tokenizers"
-PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -68,8 +63,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = sentencepiece_codec.encode(read(spark, sf_dir, "documents"), PIECE_MODEL)
-    return sentencepiece_codec.decode(ids, PIECE_MODEL).select(
+    ids = sentencepiece_codec.encode(read(spark, sf_dir, "documents"), sentencepiece_codec.MODEL_FILE)
+    return sentencepiece_codec.decode(ids, sentencepiece_codec.MODEL_FILE).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         sha256_of(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),

@@ -24,6 +24,9 @@ from pyspark.sql import types as T
 from trolley.llm.arrow_maps import Batches, column, map_batches, narrow, small, texts_of
 
 MARK = "▁"
+
+#: The vocabulary file of the registered queries, at the same place on every machine.
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 _CHUNK = re.compile(" +[^ ]*")
 
 
