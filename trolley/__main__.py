@@ -1,4 +1,4 @@
-"""Start a job: ``spark-submit ... -m trolley JOB`` or ``python -m trolley JOB``."""
+"""Start a job: ``spark-submit ... launch.py JOB`` or ``python -m trolley JOB``."""
 
 from __future__ import annotations
 
@@ -37,7 +37,19 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--topic", default="user-activity")
     source.add_argument("--starting-offsets", default="earliest")
     source.add_argument("--group-id")
-    source.add_argument("--max-offsets", type=int, help="messages per batch at most")
+    source.add_argument(
+        "--max-offsets",
+        type=int,
+        default=5_000_000,
+        help="messages per batch at most; only paces the job, all are processed",
+    )
+    source.add_argument("--min-partitions", type=int, help="tasks per batch at least")
+    source.add_argument(
+        "--max-files",
+        type=int,
+        default=200,
+        help="files of --messages per batch at most; only paces the job, all are processed",
+    )
     source.add_argument("--kafka-properties", help="file of further kafka.* options")
     source.add_argument("--messages", help="folder of Kafka-shaped Parquet files instead of a topic")
     source.add_argument("--batched", action="store_true", help="a message may hold a JSON array")
@@ -47,6 +59,13 @@ def parser() -> argparse.ArgumentParser:
     target.add_argument("--jdbc-url", help="database for users and facts")
     target.add_argument("--jdbc-driver")
     target.add_argument("--jdbc-properties", help="file with user, password and the like")
+    target.add_argument(
+        "--jdbc-types", help="types of columns if tables are created, e.g. 'email varchar(255)'"
+    )
+    target.add_argument("--jdbc-connections", type=int, default=8)
+    target.add_argument(
+        "--jdbc-by-day", action="store_true", help="facts have a column ingest_day for lookups"
+    )
     run = cli.add_argument_group("run")
     run.add_argument("--checkpoint", help="folder for the progress of the query")
     run.add_argument(
@@ -76,7 +95,7 @@ def properties(path: str | None) -> dict[str, str]:
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.messages:
-        return message_files(spark, args.messages)
+        return message_files(spark, args.messages, max_files=args.max_files)
     if not args.bootstrap_servers:
         raise SystemExit("give --bootstrap-servers or --messages")
     topic = KafkaTopic(
@@ -85,6 +104,7 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         starting_offsets=args.starting_offsets,
         group_id=args.group_id,
         max_offsets=args.max_offsets,
+        min_partitions=args.min_partitions,
         options=properties(args.kafka_properties),
     )
     return stream_topic(spark, topic)
@@ -93,7 +113,20 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def _table(args: argparse.Namespace, name: str, schema: T.StructType, *, by_day: bool) -> Table:
     if args.jdbc_url:
         db = Jdbc(args.jdbc_url, args.jdbc_driver, properties(args.jdbc_properties))
-        return JdbcTable(db, name, schema)
+        named = {field.name.lower() for field in schema}
+        types = [
+            part.strip()
+            for part in (args.jdbc_types or "").split(",")
+            if part.strip() and part.split()[0].lower() in named
+        ]
+        return JdbcTable(
+            db,
+            name,
+            schema,
+            column_types=", ".join(types) or None,
+            connections=args.jdbc_connections,
+            by_day=by_day and args.jdbc_by_day,
+        )
     return ParquetTable(f"{args.tables}/{name}", schema, by_day=by_day, rebalance=True)
 
 
@@ -120,9 +153,10 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         return land_rejects(messages, args.tables, args.checkpoint, keep=args.keep, **given)
     given.update(
         quarantine=ParquetTable(f"{args.tables}/quarantine_{args.job}", QUARANTINE, by_day=True),
+        partial=ParquetTable(f"{args.tables}/partial_{args.job}", QUARANTINE, by_day=True),
         metrics=BatchFolders(f"{args.tables}/metrics_{args.job}", METRICS),
         samples=args.samples,
-        staging=args.staging,
+        staging=args.staging and f"{args.staging}/{args.job}",
         # Kafka hands out an offset once per batch; archived files may overlap.
         repeats=bool(args.messages),
     )

@@ -4,7 +4,7 @@ from trolley.functions.ids import record_id
 from trolley.functions.wire import (
     WIRE_TIMESTAMP,
     compact_line,
-    is_json,
+    is_object,
     is_one_json,
     record_json,
     wire_timestamp,
@@ -13,7 +13,7 @@ from trolley.functions.wire import (
 __all__ = [
     "WIRE_TIMESTAMP",
     "compact_line",
-    "is_json",
+    "is_object",
     "is_one_json",
     "record_id",
     "record_json",

@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame steps; all but the batch-only ones also take streaming frames."""
 
 from trolley.operators.curate import feedback, interactions, users
-from trolley.operators.decode import accepted, decode, drop_empty, rejected
+from trolley.operators.decode import accepted, decode, drop_empty, partials, rejected
 from trolley.operators.dedup import (
     distinct_rows,
     drop_replays,
@@ -32,6 +32,7 @@ __all__ = [
     "missing_reference_counts",
     "missing_references",
     "new_rows",
+    "partials",
     "recent_keys",
     "rejected",
     "rule_violations",

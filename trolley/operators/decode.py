@@ -6,15 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.functions import is_json, record_id
+from trolley.functions import is_object, is_one_json, record_id
+from trolley.functions.wire import READ_OPTIONS
 from trolley.schemas import ACTIVITY, COORDINATES, QUARANTINE
 
 _CORRUPT = "_corrupt_record"
-_READ_OPTIONS = {
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": _CORRUPT,
-    "timeZone": "UTC",
-}
+_READ_OPTIONS = {**READ_OPTIONS, "columnNameOfCorruptRecord": _CORRUPT}
 _BLANK = " \t\r\n"
 
 
@@ -31,7 +28,7 @@ def decode(
     Besides the fields of ``schema`` a row has the ``COORDINATES`` columns and
 
     - ``reject_reason``: null for a usable record, else ``empty``, ``malformed`` or ``no key``;
-    - ``raw_value``: the record's text, only kept where it was rejected;
+    - ``raw_value``: the record's text, only kept where it was rejected or is partial;
     - ``partial``: some field of a usable record could not be read and is null.
 
     ``batched`` also accepts messages that hold a JSON array: every element becomes a row
@@ -49,13 +46,15 @@ def decode(
         "raw",
         F.explode(F.array(F.from_json("raw", readable, _READ_OPTIONS))).alias("data"),
     )
-    reason = _reject_reason(F.col("raw"), F.col("data.user_id"))
+    has_key = _has_key(F.col("data.user_id"))
+    is_partial = has_key & F.col(f"data.{_CORRUPT}").isNotNull()
+    reason = _reject_reason(F.col("raw"), has_key)
     return parsed.select(
         *[F.col(f"data.{name}").alias(name) for name in schema.fieldNames()],
         *COORDINATES.fieldNames(),
         reason.alias("reject_reason"),
-        F.when(~_has_key(F.col("data.user_id")), F.col("raw")).alias("raw_value"),
-        (_has_key(F.col("data.user_id")) & F.col(f"data.{_CORRUPT}").isNotNull()).alias("partial"),
+        F.when(~has_key | is_partial, F.col("raw")).alias("raw_value"),
+        is_partial.alias("partial"),
     )
 
 
@@ -86,7 +85,7 @@ def _split_arrays(rows: DataFrame) -> DataFrame:
     """One row per array element; anything else, malformed or empty arrays included, stays whole."""
     elements = F.when(
         F.ltrim("raw", F.lit(_BLANK)).startswith("["),
-        F.from_json("raw", T.ArrayType(T.StringType())),
+        F.from_json("raw", T.ArrayType(T.StringType()), READ_OPTIONS),
     )
     split = rows.drop("ingest_item").select("*", F.posexplode_outer(elements).alias("ingest_item", "element"))
     text = F.when(F.col("ingest_item").isNull(), F.col("raw")).otherwise(F.col("element"))
@@ -97,11 +96,12 @@ def _has_key(user_id: Column) -> Column:
     return F.coalesce(F.length(user_id) > 0, F.lit(False))
 
 
-def _reject_reason(raw: Column, user_id: Column) -> Column:
+def _reject_reason(raw: Column, has_key: Column) -> Column:
+    """The text is parsed once more only where no key was found."""
     return (
-        F.when(_has_key(user_id), F.lit(None).cast("string"))
+        F.when(has_key, F.lit(None).cast("string"))
         .when(F.coalesce(F.length(raw), F.lit(0)) == 0, F.lit("empty"))
-        .when(~is_json(raw), F.lit("malformed"))
+        .when(~is_object(raw) & ~is_one_json(raw), F.lit("malformed"))
         .otherwise(F.lit("no key"))
     )
 
@@ -119,3 +119,13 @@ def rejected(decoded: DataFrame) -> DataFrame:
         .withColumn("quarantine_id", record_id("quarantine"))
         .select(*QUARANTINE.fieldNames())
     )
+
+
+def partials(decoded: DataFrame) -> DataFrame:
+    """Quarantine-like rows for accepted records that lost a field: their text, reason ``partial``."""
+    return (
+        decoded.where("partial")
+        .withColumn("reason", F.lit("partial"))
+        .withColumn("quarantine_id", record_id("partial"))
+        .select(*QUARANTINE.fieldNames())
+    )

@@ -61,3 +61,26 @@ def recent_keys(
         .dropDuplicatesWithinWatermark(keys)
         .drop("_arrived_at")
     )
+
+
+def earliest_in_interval(
+    stream: DataFrame, keys: Sequence[str], interval: str, order: Sequence[str] = ARRIVAL
+) -> DataFrame:
+    """Streaming: of every key the earliest row by ``order`` of the batch in which the key, or a
+    still earlier row of it, first arrives within an interval; for output mode ``update``.
+
+    Intervals follow the time of the micro-batch, so no row is late, and are forgotten when they
+    end. The minimum is taken before the exchange as well: a hot key ships one row per task.
+    A key returns once per interval, hence exactness over all history takes ``new_rows``
+    behind this.
+    """
+    columns = stream.columns
+    arriving = stream.withColumn("_arrived_at", F.current_timestamp())
+    earliest = (
+        arriving.withWatermark("_arrived_at", interval)
+        .groupBy(F.window("_arrived_at", interval), *keys)
+        .agg(F.min_by(F.struct("_arrived_at", *columns), F.struct(*order)).alias("_row"))
+    )
+    return earliest.where(F.col("_row._arrived_at") == F.current_timestamp()).select(
+        *(F.col(f"_row.{name}").alias(name) for name in columns)
+    )

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.functions import record_json, wire_timestamp
+from trolley.functions import record_id, record_json, wire_timestamp
 from trolley.operators import (
     accepted,
     activity_rules,
-    count_rows,
     decode,
     distinct_rows,
     drop_empty,
@@ -21,6 +20,7 @@ from trolley.operators import (
     missing_reference_counts,
     missing_references,
     new_rows,
+    partials,
     rejected,
     rule_violations,
     sample_rows,
@@ -95,13 +95,27 @@ def decode_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SMALL = """concat('{"user_id":"', user_id, '","session_duration":', event_id % 1800, '}')"""
 
 
+# What errors send, in turn: objects without a key, the second after a line break, the last before
+# other text; a raw line break within a string; single quotes; a scalar, null and an array.
+_KEYLESS = """concat('{"session_duration":', event_id % 1800, '}')"""
+_ERRORS = f"""CASE event_id % 8
+    WHEN 1 THEN concat(chr(10), {_KEYLESS})
+    WHEN 2 THEN concat('{{"user_id":"a', chr(10), 'b"}}')
+    WHEN 3 THEN concat('{{', chr(39), 'user_id', chr(39), ':', chr(39), 'x', chr(39), '}}')
+    WHEN 4 THEN '5'
+    WHEN 5 THEN 'null'
+    WHEN 6 THEN '[{{"user_id":"u"}}]'
+    WHEN 7 THEN concat({_KEYLESS}, ' tail')
+    ELSE {_KEYLESS} END"""
+
+
 def _damaged(spark: SparkSession, sf_dir: str, waves: int = 1) -> DataFrame:
-    """Clicks lose the closing brace, sign-ups their payload, errors their key."""
+    """Clicks lose the closing brace, sign-ups their payload, errors send anything but a record."""
     value = F.expr(
         f"""CASE event_type
             WHEN 'click' THEN left({_SMALL}, length({_SMALL}) - 1)
             WHEN 'signup' THEN ''
-            WHEN 'error' THEN concat('{{"session_duration":', event_id % 1800, '}}')
+            WHEN 'error' THEN {_ERRORS}
             ELSE {_SMALL} END"""
     )
     return envelope(events_of(spark, sf_dir, waves), value)
@@ -111,8 +125,9 @@ def _damaged(spark: SparkSession, sf_dir: str, waves: int = 1) -> DataFrame:
     f"""
 SELECT CASE event_type WHEN 'click' THEN left({_SMALL}, length({_SMALL}) - 1)
                        WHEN 'signup' THEN ''
-                       ELSE concat('{{"session_duration":', event_id % 1800, '}}') END AS raw_value,
-       CASE event_type WHEN 'click' THEN 'malformed' WHEN 'signup' THEN 'empty' ELSE 'no key' END AS reason,
+                       ELSE {_ERRORS} END AS raw_value,
+       CASE event_type WHEN 'click' THEN 'malformed' WHEN 'signup' THEN 'empty'
+           ELSE CASE WHEN event_id % 8 IN (2, 3) THEN 'malformed' ELSE 'no key' END END AS reason,
        CAST(event_id % 3 AS INTEGER) AS ingest_partition, event_id AS ingest_offset,
        {id_sql("quarantine")} AS quarantine_id
 FROM events WHERE event_type IN ('click', 'signup', 'error')"""
@@ -127,7 +142,8 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 SELECT coalesce(reason, 'accepted') AS route, count(*) AS n
 FROM (SELECT CASE event_type WHEN 'click' THEN 'malformed' WHEN 'signup' THEN 'empty'
-                             WHEN 'error' THEN 'no key' END AS reason FROM events) AS r
+                             WHEN 'error' THEN CASE WHEN event_id % 8 IN (2, 3) THEN 'malformed'
+                                                    ELSE 'no key' END END AS reason FROM events) AS r
 GROUP BY 1"""
 )
 def routing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,16 +169,31 @@ FROM events"""
 )
 def partial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A field that cannot be read is null and flagged; the rest of the record survives."""
-    value = F.expr(
-        """concat('{"user_id":', user_id,
-                  ',"session_duration":', CASE event_type WHEN 'click' THEN '"oops"' ELSE CAST(event_id % 1800 AS STRING) END,
-                  ',"user_rating":', CASE event_type WHEN 'error' THEN '"nope"' ELSE CAST(value AS STRING) END, '}')"""
-    )
-    schema = narrowed("session_duration", "user_rating")
-    records = accepted(decode(envelope(events_of(spark, sf_dir), value), schema))
+    records = accepted(_half_read(spark, sf_dir))
     return records.select("user_id", "session_duration", "user_rating", "partial")
 
 
+_HALF = """concat('{"user_id":', user_id,
+    ',"session_duration":', CASE event_type WHEN 'click' THEN '"oops"' ELSE CAST(event_id % 1800 AS VARCHAR(20)) END,
+    ',"user_rating":', CASE event_type WHEN 'error' THEN '"nope"' ELSE CAST(value AS VARCHAR(40)) END, '}')"""
+
+
+def _half_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = narrowed("session_duration", "user_rating")
+    return decode(envelope(events_of(spark, sf_dir), F.expr(_HALF)), schema)
+
+
+@QUERIES.add(
+    f"""
+SELECT {_HALF} AS raw_value, 'partial' AS reason, event_id AS ingest_offset, {id_sql("partial")} AS quarantine_id
+FROM events WHERE event_type IN ('click', 'error')"""
+)
+def partial_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of accepted records that lost a field."""
+    lost = partials(_half_read(spark, sf_dir))
+    return lost.select("raw_value", "reason", "ingest_offset", "quarantine_id")
+
+
 _PER_MESSAGE = 32
 
 
@@ -295,6 +326,27 @@ def dedup_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- checks ---------------------------------------------------------------------------------
 
+
+def _sometimes(name: str, rest: int, value: str) -> str:
+    return f"CASE WHEN event_id % 13 = {rest} THEN {value} ELSE {FIELDS[name]} END"
+
+
+# The fields that rules look at, each outside its domain in some records.
+_RULED = (
+    "gender", "payment_method", "subscription_type", "customer_status", "annual_income",
+    "transaction_amount", "session_duration", "user_rating", "date_of_birth", "timestamp",
+)
+_OUTSIDE = {
+    **FIELDS,
+    "gender": _sometimes("gender", 1, "'Unknown'"),
+    "payment_method": _sometimes("payment_method", 2, "'Cash'"),
+    "subscription_type": _sometimes("subscription_type", 3, "'Free'"),
+    "customer_status": _sometimes("customer_status", 4, "'Gone'"),
+    "annual_income": _sometimes("annual_income", 5, "19999"),
+    "transaction_amount": _sometimes("transaction_amount", 6, "CAST(1000.125 AS DOUBLE)"),
+    "user_rating": _sometimes("user_rating", 7, "CAST(5.25 AS DOUBLE)"),
+}
+
 _BROKEN = {
     "gender": "gender NOT IN ('Male', 'Female', 'Non-binary', 'Prefer not to say')",
     "payment_method": "payment_method NOT IN ('Credit Card', 'Debit Card', 'PayPal', 'Bank Transfer')",
@@ -312,13 +364,16 @@ _BROKEN = {
 
 @QUERIES.add(
     " UNION ALL ".join(
-        f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {broken}) AS n_broken FROM ({activity_sql()}) AS a"
+        f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {broken}) AS n_broken FROM (SELECT "
+        + ", ".join(f'{_OUTSIDE[name]} AS "{name}"' for name in _RULED)
+        + " FROM events) AS a"
         for rule, broken in _BROKEN.items()
     )
 )
 def domain_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records per broken rule; ages are counted at the time of the event."""
-    records = accepted(decode(messages(spark, sf_dir)))
+    sent = messages(spark, sf_dir, "user_id", *_RULED, fields=_OUTSIDE)
+    records = accepted(decode(sent, narrowed(*_RULED)))
     return rule_violations(records, activity_rules(as_of=F.col("timestamp")))
 
 
@@ -343,7 +398,8 @@ WHERE NOT EXISTS (SELECT 1 FROM part AS p WHERE CAST(p.p_partkey AS VARCHAR) = a
 def unknown_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interactions with a product that is not in the catalogue."""
     products = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("product_id"))
-    facts = interactions(_fact_records(spark, sf_dir)).select("interaction_id", "product_id")
+    records = accepted(decode(messages(spark, sf_dir, "user_id", "product_id"), narrowed("product_id")))
+    facts = records.select(record_id("interaction").alias("interaction_id"), "product_id")
     return missing_references(facts, products, "product_id").select("interaction_id", "product_id")
 
 
@@ -362,7 +418,8 @@ def unknown_reference_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("product_id"))
     categories = table(spark, sf_dir, "nation").where("n_regionkey < 3")
     categories = categories.select(F.concat(F.lit("c"), "n_nationkey").alias("category_id"))
-    facts = interactions(_fact_records(spark, sf_dir))
+    sent = messages(spark, sf_dir, "user_id", "product_id", "category_id")
+    facts = accepted(decode(sent, narrowed("product_id", "category_id")))
     return missing_reference_counts(facts, {"product_id": products, "category_id": categories})
 
 
@@ -421,7 +478,9 @@ SELECT 'users' AS table_name, count(DISTINCT user_id) AS n_rows FROM events
 UNION ALL SELECT 'user_product_interactions', count(*) FROM events"""
 )
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of curated tables."""
-    n_users = count_rows(users_first_seen(spark, sf_dir).select("user_id"), "users")
-    facts = interactions(_fact_records(spark, sf_dir)).select(*INTERACTIONS.fieldNames())
-    return n_users.unionByName(count_rows(facts, "user_product_interactions"))
+    """Row counts of curated tables, from one pass over the messages."""
+    records = accepted(decode(messages(spark, sf_dir, "user_id"), narrowed()))
+    counted = records.agg(
+        F.count_distinct("user_id").alias("users"), F.count("*").alias("user_product_interactions")
+    )
+    return counted.unpivot([], counted.columns, "table_name", "n_rows")

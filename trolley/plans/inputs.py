@@ -7,6 +7,8 @@ SQL the results are compared with.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,15 +115,24 @@ def events_of(spark: SparkSession, sf_dir: str, waves: int = 1) -> DataFrame:
     return spread(table(spark, sf_dir, "events"), pieces)
 
 
-def messages(spark: SparkSession, sf_dir: str, *names: str, waves: int = 1) -> DataFrame:
-    """One message per event, with all activity fields or those named."""
-    fields = []
+def messages(
+    spark: SparkSession,
+    sf_dir: str,
+    *names: str,
+    waves: int = 1,
+    fields: Mapping[str, str] = FIELDS,
+    where: str | None = None,
+) -> DataFrame:
+    """One message per event (or per event that meets ``where``), with all activity fields or
+    those named."""
+    columns = []
     for name in names or ACTIVITY.fieldNames():
-        field = F.expr(FIELDS[name])
+        field = F.expr(fields[name])
         if ACTIVITY[name].dataType.typeName() == "timestamp":
             field = wire_timestamp(field)
-        fields.append(field.alias(name))
-    return envelope(events_of(spark, sf_dir, waves), record_json(*fields))
+        columns.append(field.alias(name))
+    events = events_of(spark, sf_dir, waves)
+    return envelope(events if where is None else events.where(where), record_json(*columns))
 
 
 def zoneless(df: DataFrame) -> DataFrame:

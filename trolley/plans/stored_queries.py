@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators import new_rows
+from trolley.operators import missing_references, new_rows
 from trolley.plans.batch_queries import (
     _DISTINCT_NEW,
     _FIRST_USERS,
@@ -86,9 +86,27 @@ def jdbc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("first_name"), "c_acctbal"
     )
     JdbcTable(db, name, rows.schema, column_types="first_name varchar(64)").write(rows)
-    return read_query(
-        spark, db, f"SELECT {db.quote('user_id')}, {db.quote('first_name')} FROM {name}"
-    )
+    lo, hi = column_bounds(spark, db, name, "user_id")
+    query = f"SELECT {db.quote('user_id')}, {db.quote('first_name')} FROM {name}"
+    return read_query(spark, db, query, partition=("user_id", lo, hi, 4))
+
+
+@QUERIES.add(
+    """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem AS l
+WHERE NOT EXISTS (SELECT 1 FROM part AS p WHERE p.p_partkey = l.l_partkey AND p.p_size < 40)"""
+)
+def jdbc_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items checked against a dimension that a database selects."""
+    db, name = _database(spark), _name("parts")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    JdbcTable(db, name, parts.schema).write(parts)
+    lo, hi = column_bounds(spark, db, name, "p_partkey")
+    key, size = db.quote("p_partkey"), db.quote("p_size")
+    query = f"SELECT {key} AS {db.quote('l_partkey')} FROM {name} WHERE {size} < 40"
+    known = read_query(spark, db, query, partition=("l_partkey", lo, hi, 4))
+    facts = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return missing_references(facts, known, "l_partkey")
 
 
 _USER_TYPES = ", ".join(

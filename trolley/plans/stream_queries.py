@@ -13,10 +13,11 @@ from trolley.plans.batch_queries import (
     _INTERACTION_COLUMNS,
     _damaged,
     _facts_sql,
+    _FIRST_USERS,
     _STORED,
     stored_users,
 )
-from trolley.plans.inputs import field_sql, messages, zoneless
+from trolley.plans.inputs import FIELDS, field_sql, id_sql, messages, table, zoneless
 from trolley.plans.registry import Registry
 from trolley.schemas import ACTIVITY, FEEDBACK, INTERACTIONS, METRICS, QUARANTINE, USERS, narrowed
 from trolley.session import scratch_dir, state_partitions
@@ -77,7 +78,10 @@ def landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT concat('{"user_id":"', user_id, '","session_duration":', event_id % 1800, '}') AS "value"
 FROM events WHERE event_type NOT IN ('click', 'signup', 'error')
 UNION ALL
-SELECT concat('{"session_duration":', event_id % 1800, '}') FROM events WHERE event_type = 'error'"""
+SELECT CASE event_id % 8 WHEN 1 THEN concat(' {"session_duration":', event_id % 1800, '}')
+                         WHEN 4 THEN '5' WHEN 5 THEN 'null' WHEN 6 THEN '[{"user_id":"u"}]'
+                         ELSE concat('{"session_duration":', event_id % 1800, '}') END
+FROM events WHERE event_type = 'error' AND event_id % 8 NOT IN (2, 3, 7)"""
 )
 def landing_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whatever is JSON lands as it was sent, with or without a key."""
@@ -89,8 +93,25 @@ def landing_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add(
     """
-SELECT event_id AS ingest_offset, CASE event_type WHEN 'click' THEN 'malformed' ELSE 'empty' END AS reason
-FROM events WHERE event_type IN ('click', 'signup')"""
+SELECT CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS user_id,
+       CAST(event_id % 1800 AS INTEGER) AS session_duration
+FROM events WHERE event_type NOT IN ('click', 'signup', 'error')
+    OR event_type = 'error' AND event_id % 8 IN (0, 1, 7)"""
+)
+def landing_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every JSON object lands with its fields, with or without a key; nothing else does."""
+    root = scratch_dir(spark, "landing_damaged")
+    stream = _archive(spark, root, _damaged, sf_dir)
+    await_query(land_parquet(stream, f"{root}/out", f"{root}/checkpoint", trigger=_DRAIN))
+    return spark.read.schema(ACTIVITY).parquet(f"{root}/out").select("user_id", "session_duration")
+
+
+@QUERIES.add(
+    """
+SELECT event_id AS ingest_offset,
+       CASE WHEN event_type = 'signup' THEN 'empty' WHEN event_type = 'click' OR event_id % 8 IN (2, 3)
+            THEN 'malformed' ELSE 'no key' END AS reason
+FROM events WHERE event_type IN ('click', 'signup') OR event_type = 'error' AND event_id % 8 IN (2, 3, 4, 5, 6)"""
 )
 def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is not a JSON object, with the reason."""
@@ -103,8 +124,8 @@ def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add(
     """
-SELECT event_id AS ingest_offset, CASE event_type WHEN 'click' THEN 'malformed' ELSE 'empty' END AS reason
-FROM events WHERE event_type IN ('click', 'signup')"""
+SELECT event_id AS ingest_offset, CASE event_type WHEN 'signup' THEN 'empty' ELSE 'malformed' END AS reason
+FROM events WHERE event_type IN ('click', 'signup') OR event_type = 'error' AND event_id % 8 IN (2, 3, 7)"""
 )
 def landing_payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is not JSON at all."""
@@ -121,8 +142,20 @@ def landing_payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- curation -------------------------------------------------------------------------------
 
 _NEW_USERS = f"""
-SELECT DISTINCT {field_sql("user_id", "first_name", "last_name")} FROM events AS e
-WHERE NOT EXISTS (SELECT 1 FROM ({_STORED}) AS s WHERE s.user_id = CAST(e.user_id AS VARCHAR))"""
+SELECT * FROM ({_FIRST_USERS}) AS f
+WHERE NOT EXISTS (SELECT 1 FROM ({_STORED}) AS s WHERE s.user_id = f.user_id)"""
+
+
+def _archive_in_order(spark: SparkSession, root: str, sf_dir: str, parts: int = 4) -> DataFrame:
+    """A stream over messages written in the order they arrive, a span of time after the other."""
+    path = f"{root}/messages"
+    low, high = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    cuts = [low + (high - low) * i / parts for i in range(1, parts)]
+    bounds = [f"TIMESTAMP_NTZ '{cut:%Y-%m-%d %H:%M:%S.%f}'" for cut in cuts]
+    for lower, upper in zip([None, *bounds], [*bounds, None]):
+        span = [f"ts >= {lower}"] * bool(lower) + [f"ts < {upper}"] * bool(upper)
+        messages(spark, sf_dir, where=" AND ".join(span)).write.mode("append").parquet(path)
+    return message_files(spark, path, max_files=spark.sparkContext.defaultParallelism)
 
 
 def _stream_users(spark: SparkSession, sf_dir: str, label: str, **options) -> DataFrame:
@@ -131,11 +164,11 @@ def _stream_users(spark: SparkSession, sf_dir: str, label: str, **options) -> Da
     known = stored_users(spark, sf_dir)
     users.create(spark)
     users.write(known.select(*_as_users(known)))
-    stream = _archive(spark, root, messages, sf_dir)
+    stream = _archive_in_order(spark, root, sf_dir)
     await_query(start_users(stream, users, f"{root}/checkpoint", trigger=_DRAIN, **options))
     # Users stored before the stream have no name.
     added = users.read(spark).where(F.col("first_name").isNotNull())
-    return added.select("user_id", "first_name", "last_name")
+    return zoneless(added)
 
 
 def _as_users(known: DataFrame) -> list:
@@ -172,26 +205,42 @@ def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{root}/out")
 
 
-@QUERIES.add(_facts_sql("feedback", _FEEDBACK_COLUMNS, '"timestamp"', "feedback_date"))
+@QUERIES.add(
+    f"""
+SELECT interaction_id AS id, user_id, product_id, category_id, session_duration, NULL AS feedback,
+       CAST(NULL AS DOUBLE) AS rating, interaction_date AS "date"
+FROM ({_facts_sql("interaction", _INTERACTION_COLUMNS, '"timestamp"', "interaction_date")}) AS i
+UNION ALL
+SELECT feedback_id, user_id, product_id, NULL, NULL, feedback, rating, feedback_date
+FROM ({_facts_sql("feedback", _FEEDBACK_COLUMNS, '"timestamp"', "feedback_date")}) AS f"""
+)
 def stream_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feedback by day received, from a job that fills both fact tables."""
+    """Both fact tables by day received, from one job."""
     root = scratch_dir(spark, "stream_facts")
     facts = ParquetTable(f"{root}/interactions", INTERACTIONS, by_day=True, rebalance=True)
     said = ParquetTable(f"{root}/feedback", FEEDBACK, by_day=True, rebalance=True)
     stream = _archive(spark, root, messages, sf_dir)
     await_query(start_facts(stream, facts, said, f"{root}/checkpoint", trigger=_DRAIN))
-    return zoneless(said.read(spark).select(*FEEDBACK.fieldNames()))
+    done = facts.read(spark).select(
+        F.col("interaction_id").alias("id"), "user_id", "product_id", "category_id", "session_duration",
+        F.col("interaction_date").alias("date"),
+    )
+    heard = said.read(spark).select(
+        F.col("feedback_id").alias("id"), "user_id", "product_id", "feedback", "rating",
+        F.col("feedback_date").alias("date"),
+    )
+    return zoneless(done.unionByName(heard, allowMissingColumns=True))
 
 
 @QUERIES.add(_facts_sql("interaction", _INTERACTION_COLUMNS, '"timestamp"', "interaction_date"))
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic is read twice, the second time without a checkpoint of the first."""
     root = scratch_dir(spark, "stream_replay")
-    facts = ParquetTable(f"{root}/interactions", INTERACTIONS)
+    facts = ParquetTable(f"{root}/interactions", INTERACTIONS, by_day=True, rebalance=True)
     stream = _archive(spark, root, messages, sf_dir)
     for run in ("first", "second"):
         await_query(start_facts(stream, facts, None, f"{root}/{run}", trigger=_DRAIN))
-    return zoneless(facts.read(spark))
+    return zoneless(facts.read(spark).select(*INTERACTIONS.fieldNames()))
 
 
 @QUERIES.add(
@@ -225,19 +274,20 @@ def stream_fanout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @QUERIES.add(
-    """
-SELECT 'users' AS table_name, count(DISTINCT user_id) AS n_rows FROM events
-UNION ALL SELECT 'user_product_interactions', count(*) FROM events
-UNION ALL SELECT 'user_feedback', count(*) FROM events"""
+    f"""
+SELECT DISTINCT 'users' AS table_name, CAST(user_id AS VARCHAR) AS key, NULL AS product_id FROM events
+UNION ALL SELECT 'user_product_interactions', {id_sql("interaction")}, {FIELDS["product_id"]} FROM events
+UNION ALL SELECT 'user_feedback', {id_sql("feedback")}, {FIELDS["product_id"]} FROM events"""
 )
 def stream_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The combined job with every batch staged as a table instead of in memory."""
     root = scratch_dir(spark, "stream_staged")
     tables = {
         "users": ParquetTable(f"{root}/users", USERS),
-        "user_product_interactions": ParquetTable(f"{root}/interactions", INTERACTIONS),
-        "user_feedback": ParquetTable(f"{root}/feedback", FEEDBACK),
+        "user_product_interactions": ParquetTable(f"{root}/interactions", INTERACTIONS, by_day=True),
+        "user_feedback": ParquetTable(f"{root}/feedback", FEEDBACK, by_day=True),
     }
+    keys = {"users": "user_id", "user_product_interactions": "interaction_id", "user_feedback": "feedback_id"}
     stream = _archive(spark, root, messages, sf_dir)
     query = start_curation(
         stream,
@@ -247,11 +297,15 @@ def stream_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
         staging=f"{root}/staging",
     )
     await_query(query)
-    counts = [
-        stored.read(spark).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+    contents = [
+        stored.read(spark).select(
+            F.lit(name).alias("table_name"),
+            F.col(keys[name]).alias("key"),
+            (F.lit(None).cast("string") if name == "users" else F.col("product_id")).alias("product_id"),
+        )
         for name, stored in tables.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, contents)
 
 
 @QUERIES.add(
@@ -268,8 +322,8 @@ def backfill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "backfill_counts")
     targets = Targets(
         ParquetTable(f"{root}/users", USERS),
-        ParquetTable(f"{root}/interactions", INTERACTIONS),
-        ParquetTable(f"{root}/feedback", FEEDBACK),
+        ParquetTable(f"{root}/interactions", INTERACTIONS, by_day=True),
+        ParquetTable(f"{root}/feedback", FEEDBACK, by_day=True),
         metrics=BatchFolders(f"{root}/metrics", METRICS),
     )
     sent = messages(spark, sf_dir)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from trolley.sources.jdbc import Jdbc, key_ranges, read_table
 
-Days = tuple[date, date]
+Days = tuple[date, ...]
 
 
 class Table(Protocol):
@@ -65,7 +65,7 @@ class ParquetTable:
         rows = self.read(spark)
         if self.by_day and days is not None:
             day = F.col("ingest_day")
-            rows = rows.where(day.between(*days) | day.isNull())
+            rows = rows.where(day.isin(*days) | day.isNull())
         return rows.select(key)
 
     def write(self, rows: DataFrame, batch_id: int = 0) -> None:
@@ -123,7 +123,10 @@ class JdbcTable:
     runs again. A unique key on the target closes that gap; the anti-join alone does not.
     Stored keys are looked up over one connection per predicate; by default ranges of the
     key's first hex digit, which fits UUIDs and md5 ids and covers any other key unevenly.
-    ``column_types`` is used if the table has to be created, e.g. ``user_id varchar(64)``.
+    ``column_types`` is used if the table has to be created, e.g. ``user_id varchar(64)``; names
+    in it replace the default, which keeps columns called ``..._id`` as ``varchar(64)`` so that
+    they can be compared and indexed. ``by_day`` adds the column ``ingest_day``, by which the
+    database narrows the lookup to the days of a batch.
     """
 
     db: Jdbc
@@ -132,27 +135,52 @@ class JdbcTable:
     predicates: Sequence[str] | None = None
     column_types: str | None = None
     connections: int = 8
+    by_day: bool = False
 
     def create(self, spark: SparkSession) -> None:
-        empty = spark.createDataFrame([], self.schema)
+        day = [T.StructField("ingest_day", T.DateType())] if self.by_day else []
+        empty = spark.createDataFrame([], T.StructType([*self.schema.fields, *day]))
         self._writer(empty).mode("ignore").save()
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.db, self.name, predicates=self.predicates)
+        return self._rows(spark, next(iter(self._keys()), None)).select(*self.schema.fieldNames())
 
     def stored(self, spark: SparkSession, key: str, days: Days | None) -> DataFrame:
-        ranges = key_ranges(self.db, key) if self.predicates is None else self.predicates
-        return read_table(spark, self.db, self.name, [key], predicates=ranges)
+        rows = self._rows(spark, key)
+        if self.by_day and days is not None:
+            day = F.col("ingest_day")
+            rows = rows.where(day.isin(*days) | day.isNull())
+        return rows.select(key)
 
     def write(self, rows: DataFrame, batch_id: int = 0) -> None:
-        self._writer(rows.select(*self.schema.fieldNames())).mode("append").save()
+        day = [F.to_date("ingest_ts").alias("ingest_day")] if self.by_day else []
+        self._writer(rows.select(*self.schema.fieldNames(), *day)).mode("append").save()
+
+    def _rows(self, spark: SparkSession, key: str | None) -> DataFrame:
+        """The table over one connection per predicate, or range of ``key``."""
+        ranges = self.predicates
+        if ranges is None and key is not None:
+            ranges = key_ranges(self.db, key)
+        return read_table(spark, self.db, self.name, predicates=ranges)
+
+    def _keys(self) -> list[str]:
+        return [
+            field.name
+            for field in self.schema
+            if field.name.endswith("_id") and isinstance(field.dataType, T.StringType)
+        ]
+
+    def _column_types(self) -> str:
+        given = self.column_types or ""
+        named = {part.split()[0].lower() for part in given.split(",") if part.strip()}
+        keys = [f"{name} varchar(64)" for name in self._keys() if name.lower() not in named]
+        return ", ".join(filter(None, [given, *keys]))
 
     def _writer(self, rows: DataFrame):
         writer = rows.write.format("jdbc").options(**self.db.all_options())
         writer = writer.option("dbtable", self.name).option("numPartitions", self.connections)
-        if self.column_types is not None:
-            writer = writer.option("createTableColumnTypes", self.column_types)
-        return writer
+        types = self._column_types()
+        return writer.option("createTableColumnTypes", types) if types else writer
 
 
 def write_bucketed(

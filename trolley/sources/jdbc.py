@@ -57,9 +57,19 @@ def read_table(
     return df if columns is None else df.select(*columns)
 
 
-def read_query(spark: SparkSession, db: Jdbc, query: str) -> DataFrame:
-    """The result of a query that the database runs."""
-    return spark.read.format("jdbc").options(**db.all_options()).option("query", query).load()
+def read_query(
+    spark: SparkSession,
+    db: Jdbc,
+    query: str,
+    *,
+    partition: tuple[str, object, object, int] | None = None,
+    predicates: Sequence[str] | None = None,
+) -> DataFrame:
+    """The result of a query that the database runs, split like a table (see ``read_table``).
+
+    Without a split it comes through a single task: for aggregates and other small results.
+    """
+    return read_table(spark, db, f"({query}) trolley_query", partition=partition, predicates=predicates)
 
 
 def column_bounds(spark: SparkSession, db: Jdbc, table: str, column: str) -> tuple:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.operators.curate import Clock, feedback, interactions, users
-from trolley.operators.decode import accepted, rejected
+from trolley.operators.decode import accepted, partials, rejected
 from trolley.operators.dedup import ARRIVAL, drop_replays, earliest_per_key
 from trolley.operators.keys import BROADCAST_BYTES, key_bytes, measured_bytes, new_rows
 from trolley.operators.sample import sample_rows
@@ -34,6 +34,7 @@ class Targets:
     feedback: Table | None = None
     quarantine: Table | None = None
     metrics: Table | None = None
+    partial: Table | None = None
 
     def __post_init__(self) -> None:
         if isinstance(self.users, BatchFolders):
@@ -46,6 +47,7 @@ class Targets:
             "users": self.users,
             "user_product_interactions": self.interactions,
             "user_feedback": self.feedback,
+            "partial": self.partial,
         }
         return [name for name, table in tables.items() if table is not None]
 
@@ -74,26 +76,64 @@ def fan_out(
     memory of the cluster. Errors of a sink propagate, so the batch is not committed and runs
     again; ids do not depend on the run, so the tables that got it already do not change.
 
-    The count of a table is what this attempt wrote; after a failed one it may be less than
-    what the batch contributed.
+    The count of a table is what this attempt wrote. Metrics of an attempt that failed stay, under
+    ``-(batch_id + 1)``, so that their sum is what the tables hold. Records that lost a field are
+    accepted, and named with their text in ``targets.partial``.
 
     ``repeats=False`` promises that no offset occurs twice within the batch, as with Kafka
     itself, and saves facts a shuffle. ``samples`` rows per table are logged first.
     """
     counts: dict[str, int] = {}
-    with _held(decoded, staging) as batch:
+    try:
+        _fan_out(
+            decoded, batch_id, targets, counts, clock=clock, repeats=repeats, staging=staging,
+            max_broadcast_bytes=max_broadcast_bytes, samples=samples,
+        )
+    except Exception:
+        if targets.metrics is not None and any(counts.values()):
+            _keep_failed(decoded.sparkSession, targets.metrics, -(batch_id + 1), counts)
+        raise
+    if targets.metrics is not None and counts:
+        measured = [(batch_id, name, n) for name, n in counts.items()]
+        targets.metrics.write(decoded.sparkSession.createDataFrame(measured, METRICS), batch_id)
+    return counts
+
+
+def _keep_failed(spark: SparkSession, metrics: Table, failed_id: int, counts: dict[str, int]) -> None:
+    """Add what a failed attempt has written to what attempts before it had."""
+    total = dict(counts)
+    if isinstance(metrics, BatchFolders):  # which overwrite what they hold for an id
+        for row in metrics.read(spark).where(F.col("batch_id") == failed_id).collect():
+            total[row.table_name] = total.get(row.table_name, 0) + row.n_rows
+    measured = [(failed_id, name, n) for name, n in total.items()]
+    metrics.write(spark.createDataFrame(measured, METRICS), failed_id)
+
+
+def _fan_out(
+    decoded: DataFrame,
+    batch_id: int,
+    targets: Targets,
+    counts: dict[str, int],
+    *,
+    clock: Clock,
+    repeats: bool,
+    staging: str | None,
+    max_broadcast_bytes: int,
+    samples: int,
+) -> None:
+    with _held(decoded, staging, batch_id) as batch:
         received = F.to_date("ingest_ts")
         extent = batch.agg(
             F.count(F.lit(1)).alias("n"),
             F.count("reject_reason").alias("n_rejected"),
-            F.min(received).alias("first_day"),
-            F.max(received).alias("last_day"),
+            F.count_if("partial").alias("n_partial"),
+            F.array_sort(F.collect_set(received)).alias("days"),  # as many as the calendar has
             key_bytes("user_id").alias("user_bytes"),
         ).first()
         if extent.n == 0:
             log.info("batch %s is empty", batch_id)
-            return counts
-        days = None if extent.first_day is None else (extent.first_day, extent.last_day)
+            return
+        days = tuple(extent.days) or None
         good = accepted(batch)
         n_good = extent.n - extent.n_rejected
 
@@ -153,6 +193,8 @@ def fan_out(
             store_by_id(
                 "quarantine", targets.quarantine, "quarantine_id", rejected(batch), extent.n_rejected
             )
+        if targets.partial is not None and extent.n_partial > 0:
+            store_by_id("partial", targets.partial, "quarantine_id", partials(batch), extent.n_partial)
         if n_good > 0:
             if targets.users is not None:
                 store(
@@ -177,14 +219,10 @@ def fan_out(
             if targets.feedback is not None:
                 facts = feedback(good, "ingest_ts", clock=clock)
                 store_by_id("user_feedback", targets.feedback, "feedback_id", facts, n_good)
-    if targets.metrics is not None:
-        measured = [(batch_id, name, n) for name, n in counts.items()]
-        targets.metrics.write(decoded.sparkSession.createDataFrame(measured, METRICS), batch_id)
-    return counts
 
 
 @contextmanager
-def _held(decoded: DataFrame, staging: str | None) -> Iterator[DataFrame]:
+def _held(decoded: DataFrame, staging: str | None, batch_id: int) -> Iterator[DataFrame]:
     if staging is None:
         batch = decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -192,9 +230,10 @@ def _held(decoded: DataFrame, staging: str | None) -> Iterator[DataFrame]:
         finally:
             batch.unpersist()
     else:
-        # One folder for all batches: each overwrites the one before it.
-        decoded.write.mode("overwrite").parquet(staging)
-        yield decoded.sparkSession.read.schema(decoded.schema).parquet(staging)
+        # Two folders in turn, each overwritten by the batch after the next.
+        folder = f"{staging}/turn={batch_id % 2}"
+        decoded.write.mode("overwrite").parquet(folder)
+        yield decoded.sparkSession.read.schema(decoded.schema).parquet(folder)
 
 
 def _write_if_any(rows: DataFrame, target: Table, batch_id: int, samples: int) -> int:

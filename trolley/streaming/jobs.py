@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trolley.functions import record_id
 from trolley.operators.decode import decode
-from trolley.operators.dedup import recent_keys
+from trolley.operators.dedup import earliest_in_interval
 from trolley.schemas import CURATED_PAYLOAD, FACTS_PAYLOAD, USERS_PAYLOAD
 from trolley.session import state_partitions
 from trolley.sinks.tables import Table
@@ -39,9 +39,10 @@ def start_curation(
 
     ``checkpoint`` holds the progress of the query and belongs on storage that outlives it.
     ``remember_users`` (an interval, for jobs that fill ``users`` only) lets the query drop
-    users seen that recently before they reach a batch. It keeps any, not always the earliest,
-    of several records that one batch holds for a user. Its state has one partition per core
-    unless ``n_state_partitions`` says otherwise, from the first run on.
+    users seen in the current interval before they reach a batch. Of several records of a user
+    the earliest stays, and a task ships one per user at most, however hot the user is. Its
+    state has one partition per core unless ``n_state_partitions`` says otherwise, from the
+    first run on; say so where executors come and go.
     """
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
@@ -51,16 +52,19 @@ def start_curation(
             raise ValueError("remember_users would drop facts of users seen before")
         # Rejected records have no user; they are told apart by their own id.
         rejected_id = F.when(F.col("reject_reason").isNotNull(), record_id("quarantine"))
-        decoded = recent_keys(
+        decoded = earliest_in_interval(
             decoded.withColumn("_rejected", rejected_id), ["user_id", "_rejected"], remember_users
         ).drop("_rejected")
 
     targets.create(messages.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if remember_users is not None:  # a stateful query switches it off for its callback too
+            batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         fan_out(batch, batch_id, targets, **fan_out_options)
 
-    writer = decoded.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    mode = "append" if remember_users is None else "update"
+    writer = decoded.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)
     if trigger is not None:
@@ -97,6 +101,7 @@ def start_users(
     checkpoint: str,
     *,
     quarantine: Table | None = None,
+    partial: Table | None = None,
     metrics: Table | None = None,
     trigger: Trigger = EVERY_20_SECONDS,
     **options,
@@ -105,7 +110,7 @@ def start_users(
 
     Keep a single query writing to ``users``: two of them can miss each other's rows.
     """
-    targets = Targets(users=users, quarantine=quarantine, metrics=metrics)
+    targets = Targets(users=users, quarantine=quarantine, metrics=metrics, partial=partial)
     return start_curation(
         messages, targets, checkpoint, payload=USERS_PAYLOAD, trigger=trigger, **options
     )
@@ -118,13 +123,18 @@ def start_facts(
     checkpoint: str,
     *,
     quarantine: Table | None = None,
+    partial: Table | None = None,
     metrics: Table | None = None,
     trigger: Trigger = EVERY_20_SECONDS,
     **options,
 ) -> StreamingQuery:
     """Interactions and feedback."""
     targets = Targets(
-        interactions=interactions, feedback=feedback, quarantine=quarantine, metrics=metrics
+        interactions=interactions,
+        feedback=feedback,
+        quarantine=quarantine,
+        metrics=metrics,
+        partial=partial,
     )
     return start_curation(
         messages, targets, checkpoint, payload=FACTS_PAYLOAD, trigger=trigger, **options
@@ -139,12 +149,13 @@ def start_all(
     checkpoint: str,
     *,
     quarantine: Table | None = None,
+    partial: Table | None = None,
     metrics: Table | None = None,
     trigger: Trigger = None,
     **options,
 ) -> StreamingQuery:
     """Users, interactions and feedback from one pass over the messages."""
-    targets = Targets(users, interactions, feedback, quarantine, metrics)
+    targets = Targets(users, interactions, feedback, quarantine, metrics, partial)
     return start_curation(messages, targets, checkpoint, trigger=trigger, **options)
 
 

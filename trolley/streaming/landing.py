@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trolley.functions import WIRE_TIMESTAMP, compact_line, is_one_json
+from trolley.functions import WIRE_TIMESTAMP, compact_line, is_object, is_one_json
 from trolley.operators.decode import decode, rejected, unreadable
 from trolley.schemas import ACTIVITY
 from trolley.streaming.jobs import Trigger
@@ -16,7 +16,7 @@ from trolley.streaming.jobs import Trigger
 
 def _is_record() -> Column:
     """Any JSON object; landing does not ask for a key."""
-    keyless_object = (F.col("reject_reason") == "no key") & F.ltrim("raw_value").startswith("{")
+    keyless_object = (F.col("reject_reason") == "no key") & is_object(F.col("raw_value"))
     return F.col("reject_reason").isNull() | F.coalesce(keyless_object, F.lit(False))
 
 
