@@ -1,9 +1,16 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pyspark
 import pytest
 
 from trolley import session
 from trolley.__main__ import parser, properties, start
 from trolley.schemas import FEEDBACK, INTERACTIONS, USERS
 from trolley.sinks import ParquetTable
+from trolley.sources import read_table
 from trolley.streaming import await_query
 
 
@@ -63,3 +70,47 @@ def test_scratch_is_below_the_checkpoint_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = session.scratch_dir(spark, "x"), session.scratch_dir(spark, "x")
     assert first.startswith(f"{root}/x-") and first != second
+
+
+@pytest.mark.parametrize("day", [[], ["--jdbc-by-day"]])
+def test_jobs_into_a_database(spark, scratch, folder, derby, day):
+    """Tables the jobs create themselves, filled twice over without doubles."""
+    # Derby's large texts take no null from Spark; keys have their type by default
+    names = {f.name for table in (USERS, INTERACTIONS, FEEDBACK) for f in table if f.dataType.simpleString() == "string"}
+    texts = ", ".join(f"{name} varchar(255)" for name in sorted(names) if not name.endswith("_id"))
+    for turn in range(2):
+        for job in ("users", "facts", "all"):
+            argv = [job, "--messages", folder, "--tables", f"{scratch}/out", "--trigger", "available"]
+            argv += ["--checkpoint", f"{scratch}/cp_{job}_{turn}", "--jdbc-url", derby.url, *day]
+            argv += ["--jdbc-types", texts, "--jdbc-connections", "2", "--max-files", "1"]
+            await_query(start(spark, parser().parse_args(argv)))
+    counts = {
+        name: read_table(spark, derby, name).count()
+        for name in ("users", "user_product_interactions", "user_feedback")
+    }
+    assert counts == {"users": 3, "user_product_interactions": 9, "user_feedback": 9}
+
+
+def test_archive_is_drained_in_batches(spark, scratch, inbox):
+    path = f"{scratch}/many"
+    for n in range(4):
+        inbox([f'{{"user_id":"u{n}"}}'], first=n).coalesce(1).write.mode("append").parquet(path)
+    run(spark, scratch, path, "all", "--max-files", "1")
+    batches = spark.read.parquet(f"{scratch}/out/metrics_all").where("table_name = 'users'")
+    assert batches.where("n_rows = 1").select("batch_id").distinct().count() == 4
+
+
+def test_launcher(scratch, folder):
+    """The documented command, as a process of its own."""
+    root = Path(__file__).resolve().parents[1]
+    out = f"{scratch}/launched"
+    command = [
+        str(Path(pyspark.__file__).parent / "bin" / "spark-submit"), "--master", "local[2]",
+        "--conf", "spark.ui.enabled=false", str(root / "launch.py"), "land-json", "--messages", folder,
+        "--tables", out, "--checkpoint", f"{scratch}/cp_launched", "--trigger", "available",
+    ]
+    environment = os.environ | {"PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run(command, env=environment, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-2000:]
+    lines = [line for path in Path(out).glob("*.txt") for line in path.read_text().splitlines()]
+    assert len(lines) == 9
