@@ -124,8 +124,8 @@ class JdbcTable:
     Stored keys are looked up over one connection per predicate; by default ranges of the
     key's first hex digit, which fits UUIDs and md5 ids and covers any other key unevenly.
     ``column_types`` is used if the table has to be created, e.g. ``user_id varchar(64)``; names
-    in it replace the default, which keeps columns called ``..._id`` as ``varchar(64)`` so that
-    they can be compared and indexed. ``by_day`` adds the column ``ingest_day``, by which the
+    in it replace the default, which makes the ``key`` (the last text column called ``..._id``
+    unless given) ``varchar(64)`` so that it can be compared and indexed. ``by_day`` adds the column ``ingest_day``, by which the
     database narrows the lookup to the days of a batch.
     """
 
@@ -136,6 +136,7 @@ class JdbcTable:
     column_types: str | None = None
     connections: int = 8
     by_day: bool = False
+    key: str | None = None
 
     def create(self, spark: SparkSession) -> None:
         day = [T.StructField("ingest_day", T.DateType())] if self.by_day else []
@@ -143,7 +144,7 @@ class JdbcTable:
         self._writer(empty).mode("ignore").save()
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._rows(spark, next(iter(self._keys()), None)).select(*self.schema.fieldNames())
+        return self._rows(spark, self._key()).select(*self.schema.fieldNames())
 
     def stored(self, spark: SparkSession, key: str, days: Days | None) -> DataFrame:
         rows = self._rows(spark, key)
@@ -163,18 +164,16 @@ class JdbcTable:
             ranges = key_ranges(self.db, key)
         return read_table(spark, self.db, self.name, predicates=ranges)
 
-    def _keys(self) -> list[str]:
-        return [
-            field.name
-            for field in self.schema
-            if field.name.endswith("_id") and isinstance(field.dataType, T.StringType)
-        ]
+    def _key(self) -> str | None:
+        texts = [f.name for f in self.schema if isinstance(f.dataType, T.StringType)]
+        return self.key or next((name for name in reversed(texts) if name.endswith("_id")), None)
 
     def _column_types(self) -> str:
         given = self.column_types or ""
         named = {part.split()[0].lower() for part in given.split(",") if part.strip()}
-        keys = [f"{name} varchar(64)" for name in self._keys() if name.lower() not in named]
-        return ", ".join(filter(None, [given, *keys]))
+        key = self._key()
+        default = f"{key} varchar(64)" if key and key.lower() not in named else None
+        return ", ".join(filter(None, [given, default]))
 
     def _writer(self, rows: DataFrame):
         writer = rows.write.format("jdbc").options(**self.db.all_options())
