@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.llm import decontamination, line_dedup, ngram_join, quality, sentencepiece_codec
+from trolley.llm.arrow_maps import ready
 from trolley.session import scratch_dir
 
 
@@ -57,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)

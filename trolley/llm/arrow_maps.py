@@ -9,7 +9,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,15 @@ def _importable(rows: DataFrame) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """``spark`` with a folder for checkpoints: the one its cluster names, or, where none is named
+    (as in tests), one of its own, which ``scratch_dir`` only gives to a local session."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or scratch_dir(spark, "checkpoints"))
+    return spark
+
+
 def fresh(docs: DataFrame, name: str) -> str:
     """A column name that ``docs`` does not have."""
     taken = {column.lower() for column in docs.columns}

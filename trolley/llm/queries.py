@@ -21,10 +21,10 @@ from trolley.llm import (
     suffix_dedup,
     toxicity,
 )
-from trolley.llm.arrow_maps import sha256_of
+from trolley.llm.arrow_maps import ready, sha256_of
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
