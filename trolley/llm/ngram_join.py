@@ -32,15 +32,21 @@ from trolley.llm.arrow_maps import Batches, append, column, fresh, map_batches,
 from trolley.llm.components import components
 from trolley.llm.trie import SetTrie
 from trolley.llm.word_hashes import Prefixes, mix, runs_of, slices, text_buffer
+from trolley.operators import broadcast_if_small
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
 
-#: Buckets of shingle counts: a fixed 2 MB, however large the corpus.
-SKETCH = 1 << 18
-_CHUNK = 1 << 13
+#: Buckets of shingle counts: a fixed 16 MB, however large the corpus. The finer they are, the
+#: better rare shingles are told from common ones; any order gives the same links.
+SKETCH = 1 << 23
+
+#: Text per shard of early shingles, and the measured size up to which members are broadcast.
+_SHARD_BYTES = 16 << 20
+_SMALL = 16 << 20
+_CHUNK = 1 << 16
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -117,81 +123,141 @@ def _digester(n: int):
 
 
 def shingle_counts(rows: DataFrame, n: int) -> np.ndarray:
-    """In how many rows a shingle of each bucket occurs, over all rows."""
+    """In how many rows a shingle of each bucket occurs, over all rows (65,535 for more)."""
 
     def count(batches: Batches) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
+        total = np.zeros(SKETCH, np.int32)
         for batch in batches:
             for _, _, hashes in shingle_sets(column(batch, "text"), n):
-                total += np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-        chunks = total.reshape(-1, _CHUNK)
+                np.add.at(total, (hashes % np.uint64(SKETCH)).astype(np.int64), 1)
+        chunks = [_squeezed(x) for x in total.reshape(-1, _CHUNK)]
         yield pa.record_batch(
-            [pa.array(range(len(chunks)), pa.int64()), pa.array([x.tobytes() for x in chunks], pa.binary())],
-            ["doc_id", "counts"],
+            [pa.array(range(len(chunks)), pa.int64()), pa.array(chunks, pa.binary())], ["doc_id", "counts"]
         )
 
     def add(table: pa.Table) -> pa.Table:
-        parts = table.column("counts").to_pylist()
-        total = sum((np.frombuffer(part, np.int64) for part in parts), np.zeros(_CHUNK, np.int64))
-        return pa.table({"doc_id": table.column("doc_id")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+        total = np.zeros(_CHUNK, np.int64)
+        for part in table.column("counts"):
+            total += np.frombuffer(pa.decompress(part.as_py(), 4 * _CHUNK, "zstd"), np.int32)
+        summed = _squeezed(np.minimum(total, 65_535).astype(np.int32))
+        return pa.table({"doc_id": table.column("doc_id")[:1], "counts": pa.array([summed], pa.binary())})
 
     keyed = rows.select(F.lit(0).cast("long").alias("doc_id"), "text")
     parts = map_batches(keyed, [T.StructField("counts", T.BinaryType())], count)
-    total = np.zeros((SKETCH // _CHUNK, _CHUNK), np.int64)
+    total = np.zeros((SKETCH // _CHUNK, _CHUNK), np.uint16)
     for chunk, counts in parts.groupBy("doc_id").applyInArrow(add, parts.schema).collect():
-        total[chunk] = np.frombuffer(bytes(counts), np.int64)
+        total[chunk] = np.frombuffer(pa.decompress(bytes(counts), 4 * _CHUNK, "zstd"), np.int32)
     return total.ravel()
 
 
-def prefix_postings(rows: DataFrame, n: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """``doc_id`` (here the shingle), ``node`` (half a digest) and ``n_shingles``, for the
-    first shingles of each set: as many as a linked set cannot miss all of."""
-    rank = np.empty(SKETCH, np.int64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(SKETCH)
-    known = rows.sparkSession.sparkContext.broadcast(rank)  # SKETCH numbers
+def _squeezed(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
+
+
+_POSTINGS = [
+    T.StructField("shard", T.LongType()),
+    *(T.StructField(name, T.BinaryType()) for name in ("shingles", "bands", "hubs", "a", "b")),
+]
+
+
+def early_shingles(
+    bounds: np.ndarray, hashes: np.ndarray, counts: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(set, shingle) for the first shingles of each set in the common order: as many as a
+    linked set cannot miss all of."""
+    sizes = np.diff(bounds)
+    docs = np.repeat(np.arange(len(sizes)), sizes)
+    common = counts[(hashes % np.uint64(SKETCH)).astype(np.int64)]
+    order = np.lexsort((hashes, common, docs))
+    length = sizes - -(-percent * sizes // 100) + 1
+    early = np.arange(len(hashes)) - np.repeat(bounds[:-1], sizes) < np.repeat(length, sizes)
+    return docs[order[early]], hashes[order[early]]
+
+
+def _size_bands(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Linked sets differ in size by 100 / percent at most, hence by one band at most."""
+    if percent == 100:
+        return sizes
+    return np.floor(np.log(np.maximum(sizes, 1)) / math.log(100 / percent) + 1e-9).astype(np.int64)
+
+
+def _postings(rows: DataFrame, n: int, percent: int, counts: np.ndarray, n_shards: int) -> DataFrame:
+    """Per batch and shard of shingles: its early shingles by size band, for each the smallest
+    node of the batch (its hub), and edges from the other nodes to the hub."""
+    known = rows.sparkSession.sparkContext.broadcast(counts)  # SKETCH numbers
 
     def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            parts = []
             for _, bounds, hashes in shingle_sets(column(batch, "text"), n):
-                sizes = np.diff(bounds)
-                docs = np.repeat(np.arange(len(sizes)), sizes)
-                ranks = known.value[(hashes % np.uint64(SKETCH)).astype(np.int64)]
-                order = np.lexsort((hashes, ranks, docs))
-                length = sizes - -(-percent * sizes // 100) + 1
-                early = np.arange(len(hashes)) - np.repeat(bounds[:-1], sizes) < np.repeat(length, sizes)
-                chosen = order[early]
-                nodes = _digests(bounds, hashes)[:, 0]
-                yield pa.record_batch(
-                    [
-                        pa.array(hashes[chosen].view(np.int64)),
-                        pa.array(nodes[docs[chosen]].view(np.int64)),
-                        pa.array(sizes[docs[chosen]]),
-                    ],
-                    ["doc_id", "node", "n_shingles"],
-                )
+                sets, shingles = early_shingles(bounds, hashes, known.value, percent)
+                nodes = np.ascontiguousarray(_digests(bounds, hashes)[:, 0]).view(np.int64)[sets]
+                parts.append((shingles, _size_bands(np.diff(bounds), percent)[sets], nodes))
+            if not parts or not sum(len(x[0]) for x in parts):
+                continue
+            shingles, bands, nodes = (np.concatenate(x) for x in zip(*parts))
+            shards = (shingles >> np.uint64(32)) % np.uint64(n_shards)
+            order = np.lexsort((nodes, bands, shingles, shards))
+            shards, shingles, bands, nodes = (x[order] for x in (shards, shingles, bands, nodes))
+            new = np.ones(len(order), bool)
+            new[1:] = (shingles[1:] != shingles[:-1]) | (bands[1:] != bands[:-1])
+            hubs = nodes[new][np.cumsum(new) - 1]
+            edge = nodes != hubs
+            a, b, edge_shards = nodes[edge], hubs[edge], shards[edge]
+            shingles, bands, hubs, hub_shards = shingles[new], bands[new], hubs[new], shards[new]
+            present = np.unique(hub_shards)
+            at = np.searchsorted(hub_shards, present), np.searchsorted(hub_shards, present, "right")
+            edge_at = np.searchsorted(edge_shards, present), np.searchsorted(edge_shards, present, "right")
+
+            def packed(values: np.ndarray, kind, bounds) -> pa.Array:
+                return pa.array([values[x:y].astype(kind).tobytes() for x, y in zip(*bounds)], pa.binary())
+
+            yield pa.record_batch(
+                [
+                    pa.array(np.zeros(len(present), np.int64)),
+                    pa.array(present.astype(np.int64)),
+                    packed(shingles, np.uint64, at),
+                    packed(bands, np.int32, at),
+                    packed(hubs, np.int64, at),
+                    packed(a, np.int64, edge_at),
+                    packed(b, np.int64, edge_at),
+                ],
+                ["doc_id", *(field.name for field in _POSTINGS)],
+            )
 
     keyed = rows.select(F.lit(0).cast("long").alias("doc_id"), "text")
-    fields = [T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType())]
-    return map_batches(keyed, fields, cut)
+    return map_batches(keyed, _POSTINGS, cut)
+
+
+def _edges_of_shard(table: pa.Table) -> pa.Table:
+    """Edges between the hubs of one shingle, within a size band and to the next band, and those
+    of the batches. A batch has one hub per shingle and band, however many sets hold it."""
 
+    def joined(name: str, kind) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-def families(postings: DataFrame, percent: int) -> DataFrame:
+    shingles, bands, hubs = joined("shingles", np.uint64), joined("bands", np.int32), joined("hubs", np.int64)
+    order = np.lexsort((hubs, bands, shingles))
+    shingles, bands, hubs = shingles[order], bands[order].astype(np.int64), hubs[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (shingles[1:] != shingles[:-1]) | (bands[1:] != bands[:-1])
+    least = hubs[new][np.cumsum(new) - 1]
+    heads = np.flatnonzero(new)
+    next_band = np.flatnonzero(
+        (shingles[heads[1:]] == shingles[heads[:-1]]) & (bands[heads[1:]] == bands[heads[:-1]] + 1)
+    )
+    a = np.concatenate([hubs, hubs[heads[1:]][next_band], joined("a", np.int64)])
+    b = np.concatenate([least, hubs[heads[:-1]][next_band], joined("b", np.int64)])
+    pairs = np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def families(rows: DataFrame, n: int, percent: int) -> DataFrame:
     """``node`` and ``family``: connected over early shingles and fitting sizes. Sets alone with
     all their early shingles have no family and no link."""
-    shared = (
-        postings.groupBy("doc_id")
-        .agg(F.min("node").alias("least"), F.max("node").alias("most"))
-        .where("least != most")
-        .select("doc_id")
-    )
-    kept = postings.join(shared, "doc_id", "left_semi")
-    # linked sets differ in size by 100 / percent at most, hence by one band at most
-    band = F.floor(F.log("n_shingles") / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("n_shingles")
-    near = kept.select("doc_id", "node", F.explode(F.array(band, band - 1)).alias("band"))
-    near = saved(near, "near-postings")
-    hubs = near.groupBy("doc_id", "band").agg(F.min("node").alias("hub"))
-    edges = near.join(hubs, ["doc_id", "band"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    found = components(edges)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    postings = _postings(rows, n, percent, shingle_counts(rows, n), max(1, math.ceil(size / _SHARD_BYTES)))
+    found = components(postings.groupBy("shard").applyInArrow(_edges_of_shard, "a long, b long"))
     return found.select("node", F.col("root").alias("family")).unionByName(
         found.select(F.col("root").alias("node"), F.col("root").alias("family")).distinct()
     )
@@ -289,13 +355,18 @@ def _components_of(rows: DataFrame, sets: DataFrame, n: int, percent: int, tile:
         .groupBy("digest")
         .agg(F.min("doc_id").alias("smallest"), F.any_value("node").alias("node"))
     )
-    postings = saved(prefix_postings(rows, n, percent, shingle_counts(rows, n)), "postings")
-    found = families(postings, percent)
+    found = families(rows, n, percent)
     members = classes.join(found, "node").select("family", "digest", "smallest")
+    tiled = _tiled(saved(members, "families"), tile).withColumnRenamed("smallest", "doc_id")
+    tiled = broadcast_if_small(saved(tiled, "tiles"), _SMALL)  # else both sides are shuffled
+    # sets that only rows without an id hold are fetched by their digest
+    nameless = append(rows.where("doc_id IS NULL"), SET, _digester(n)).select("digest", "text")
     texts = (
-        _tiled(saved(members, "families"), tile)
-        .withColumnRenamed("smallest", "doc_id")
-        .join(rows, "doc_id")
+        tiled.join(rows, "doc_id")
+        .unionByName(
+            tiled.where("doc_id IS NULL").join(nameless.dropDuplicates(["digest"]), "digest"),
+            allowMissingColumns=True,
+        )
         .select("bin", "family", "low", "high", "tile", "digest", "text")
     )
     links = texts.groupBy("bin").applyInArrow(_join_bin(n, percent), _LINKS)
@@ -312,7 +383,7 @@ def near_components(
     *,
     n: int = 3,
     percent: int = 90,
-    tile: int = 1_000,
+    tile: int = 500,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -331,7 +402,7 @@ def firsts(
     *,
     n: int = 3,
     percent: int = 90,
-    tile: int = 1_000,
+    tile: int = 500,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:

@@ -5,10 +5,14 @@ from __future__ import annotations
 import numpy as np
 
 
+#: Items of a path that a probe takes in one step, before it looks at the bounds again.
+_STEP = 128
+
+
 class SetTrie:
     """Sets of numbers in ascending order, as paths that share their common beginnings.
 
-    ``probe`` walks all paths level by level. The overlap of a shared beginning is counted once
+    ``probe`` walks all paths at once, some items at a time. The overlap of a shared beginning is counted once
     for every set below it; a subtree is left as soon as the lengths that remain on both sides
     cannot bring any of its sets to the similarity.
     """
@@ -17,7 +21,7 @@ class SetTrie:
         self.universe = universe
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
         lengths = np.array([len(s) for s in sets], np.int64)
-        self.flat = np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int64)
+        self.flat = np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int32)
         offsets = np.concatenate([[0], np.cumsum(lengths)])
         lo, hi, parent, start, ends = [0], [0], [-1], [0], [-1]
         stack, previous = [0], None
@@ -52,26 +56,30 @@ class SetTrie:
         member = np.zeros(self.universe, bool)
         member[items] = True
         n = len(items)
-        nodes, overlaps = np.zeros(1, np.int64), np.zeros(1, np.int64)
         found = []
+        nodes = self.children[: self.first_child[1]]
+        depths, overlaps = self.lo[nodes], np.zeros(len(nodes), np.int64)
+        scale = 100 + percent  # 100 * o >= percent * (n + m - o)
         while len(nodes):
-            counts = self.first_child[nodes + 1] - self.first_child[nodes]
-            kids = self.children[_ranges(self.first_child[nodes], counts)]
-            if not len(kids):
-                break
-            sizes = self.hi[kids] - self.lo[kids]
-            inside = member[self.flat[_ranges(self.start[kids] + self.lo[kids], sizes)]]
-            sums = np.concatenate([[0], np.cumsum(inside)])
-            upto = np.cumsum(sizes)
-            shared = np.repeat(overlaps, counts) + sums[upto] - sums[upto - sizes]
-            last = self.flat[self.start[kids] + self.hi[kids] - 1]
-            left = np.minimum(n - np.searchsorted(items, last, "right"), self.longest[kids] - self.hi[kids])
-            # 100 * o >= percent * (n + m - o)
-            scale = 100 + percent
-            hit = (self.ends[kids] >= 0) & (scale * shared >= percent * (n + self.hi[kids]))
-            found.append(self.ends[kids[hit]])
-            alive = scale * (shared + left) >= percent * (n + self.shortest[kids])
-            nodes, overlaps = kids[alive], shared[alive]
+            sizes = np.minimum(self.hi[nodes] - depths, _STEP)
+            inside = member[self.flat[_ranges(self.start[nodes] + depths, sizes)]]
+            sums, upto = np.concatenate([[0], np.cumsum(inside)]), np.cumsum(sizes)
+            overlaps = overlaps + sums[upto] - sums[upto - sizes]
+            depths = depths + sizes
+            last = self.flat[self.start[nodes] + depths - 1]
+            left = np.minimum(n - np.searchsorted(items, last, "right"), self.longest[nodes] - depths)
+            done = depths == self.hi[nodes]
+            hit = done & (self.ends[nodes] >= 0) & (scale * overlaps >= percent * (n + depths))
+            found.append(self.ends[nodes[hit]])
+            alive = scale * (overlaps + left) >= percent * (n + self.shortest[nodes])
+            within, through = alive & ~done, alive & done
+            counts = self.first_child[nodes[through] + 1] - self.first_child[nodes[through]]
+            kids = self.children[_ranges(self.first_child[nodes[through]], counts)]
+            nodes, depths, overlaps = (
+                np.concatenate([nodes[within], kids]),
+                np.concatenate([depths[within], self.lo[kids]]),
+                np.concatenate([overlaps[within], np.repeat(overlaps[through], counts)]),
+            )
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
