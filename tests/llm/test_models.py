@@ -42,6 +42,25 @@ def test_toxicity_edges(spark, docs, rows, nothing):
     assert toxicity.train(nothing, labels) is None
 
 
+def test_toxicity_sees_all_unlabelled_text(spark):
+    ids = spark.range(16_000).where(~toxicity.held_out("id"))
+    ids = [r.id for r in ids.orderBy(F.xxhash64("id", F.lit(6)), "id").collect()]
+    rare = ids[9_000:]  # what a sample of the first thousands by hash does not see
+    toxic = ids[:9_000:30]
+    texts = {i: f"plain text {i % 97}" for i in ids} | {i: f"berry text {i % 97}" for i in rare}
+    texts |= {i: f"venom {'berry' if n % 3 == 0 else 'plain'} text {i % 97}" for n, i in enumerate(toxic)}
+    docs = spark.createDataFrame([(i, f"{text} {i}") for i, text in texts.items()], "doc_id long, text string")
+    labels = [(i, 1) for i in toxic] + [(i, 0) for i in ids[1:9_000:3]]
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    known = set(model.features.tolist())
+    (word, berry), (_, venom) = (
+        next(toxicity.features_of(*toxicity.text_buffer(toxicity.pa.array([text])))) for text in ("berry", "venom")
+    )
+    assert len(word) == 1 and int(venom[0]) in known and int(berry[0]) not in known
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert max(scores[i] for i in rare) < 0.5 < min(scores[i] for i in toxic)
+
+
 def test_non_negative_risk_learns_the_positive_feature():
     rng = np.random.default_rng(1)
     positive = np.arange(600) < 200
