@@ -146,6 +146,61 @@ def test_cuckoo_filter(members, data):
     assert filter_.size + (filter_.after.size if filter_.after else 0) == 0
 
 
+def test_cuckoo_filter_removes_from_a_chain_what_looks_alike():
+    rng = np.random.default_rng(5)
+    prints, places = rng.integers(1, 6, 4000).astype(np.uint64), rng.integers(0, 1 << 9, 4000).astype(np.uint64)
+    hashes = np.unique(prints << np.uint64(48) | places)
+    rng.shuffle(hashes)
+    filter_ = CuckooFilter(40)
+    for some in np.array_split(hashes, 9):
+        filter_.insert(some)
+    filter_.remove(hashes[::2])
+    assert filter_.after and filter_.contains(hashes[1::2]).all()
+
+
+def alike():
+    """Two lines with the same print and bucket in the least filter."""
+    seen, n = {}, len(CuckooFilter(64).table)
+    for i in range(100_000):
+        line = f"a line with the number {i}"
+        value = int.from_bytes(line_dedup.key_of(line.encode(), 10)[:8], "little")
+        place = (max(value >> 48, 1), value % n)
+        if place in seen:
+            return seen[place], line
+        seen[place] = line
+
+
+@pytest.mark.parametrize("kept", [0, 1])
+def test_line_index_keeps_keys_that_look_alike(spark, kept):
+    lines = alike()
+    docs = [spark.createDataFrame([(i, line)], "doc_id long, text string") for i, line in enumerate(lines)]
+    index = LineIndex.empty(spark, shards=1).insert(docs[0]).insert(docs[1])
+    index = index.delete(docs[1 - kept])
+    last = spark.createDataFrame([(7, lines[kept])], "doc_id long, text string")
+    (row,) = index.insert(last).references().collect()
+    assert (row.key, row.documents, row.smallest) == (line_dedup.key_of(lines[kept].encode(), 10), 2, kept)
+    both = LineIndex.empty(spark, shards=1).insert(docs[0].union(docs[1])).delete(docs[1 - kept]).insert(last)
+    assert [(r.documents, r.smallest) for r in both.references().collect()] == [(2, kept)]
+
+
+@pytest.mark.parametrize("kept", [0, 1])
+def test_probe_and_forget_with_equal_hashes(kept):
+    keys = [b"12345678" + bytes([i] * 8) for i in range(2)]
+    nothing = line_dedup._NO_FILTER.empty_table()
+
+    def new(*own):
+        return line_dedup.pa.table(
+            {"shard": line_dedup.pa.array([0] * len(own), "int32"), "key": list(own), "again": [False] * len(own)}
+        )
+
+    once = line_dedup._probe(nothing, new(*keys))
+    apart = line_dedup._probe(line_dedup._probe(nothing, new(keys[0])), new(keys[1]))
+    assert apart.column("asked").to_pylist() == [True, False]
+    for table in (once, line_dedup._add(apart, new(keys[1]))):
+        left = line_dedup._forget(table, new(keys[1 - kept]))
+        assert keys[kept] in line_dedup._probe(left, new(keys[kept])).column("key").to_pylist()
+
+
 def shingles(text, n):
     words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words_of(text)]
     if not words:

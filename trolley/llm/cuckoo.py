@@ -15,7 +15,9 @@ class CuckooFilter:
     """Fingerprints of 16 bits in two possible buckets of four. Members can be removed again.
 
     A print that finds no place after ``_KICKS`` moves goes to a small stash with its bucket, so
-    that a member is never missed. A full filter is followed by another one (``after``).
+    that a member is never missed. A full filter is followed by another one (``after``), which takes
+    all later members but those that look like one of this filter: what ``remove`` finds first is
+    then the print of the member itself, or one that stands for it as well.
     """
 
     def __init__(self, capacity: int):
@@ -38,12 +40,16 @@ class CuckooFilter:
         """A print with the lesser of its two buckets."""
         return np.minimum(buckets, self._other(prints, buckets)) << 16 | prints.astype(np.int64)
 
-    def contains(self, hashes: np.ndarray) -> np.ndarray:
+    def _holds(self, hashes: np.ndarray) -> np.ndarray:
         prints, first = self._places(hashes)
         found = (self.table[first] == prints[:, None]).any(axis=1)
         found |= (self.table[self._other(prints, first)] == prints[:, None]).any(axis=1)
         if len(self.stash):
             found |= np.isin(self._code(prints, first), self.stash)
+        return found
+
+    def contains(self, hashes: np.ndarray) -> np.ndarray:
+        found = self._holds(hashes)
         return found | self.after.contains(hashes) if self.after else found
 
     def _settle(self, prints: np.ndarray, buckets: np.ndarray) -> np.ndarray:
@@ -65,12 +71,17 @@ class CuckooFilter:
         return done
 
     def insert(self, hashes: np.ndarray) -> None:
-        """Add distinct hashes that are not members."""
-        room = max(0, int(self.table.size * _LOAD) - self.size)
-        if len(hashes) > room:
+        """Add the hashes of new members, which may look like those of others."""
+        room = 0 if self.after else max(0, int(self.table.size * _LOAD) - self.size)
+        self._put(hashes[:room])
+        hashes = hashes[room:]
+        if len(hashes):
+            alike = self._holds(hashes)
+            self._put(hashes[alike])
             self.after = self.after or CuckooFilter(max(2 * self.size, len(hashes)))
-            self.after.insert(hashes[room:])
-            hashes = hashes[:room]
+            self.after.insert(hashes[~alike])
+
+    def _put(self, hashes: np.ndarray) -> None:
         self.size += len(hashes)
         prints, buckets = self._places(hashes)
         for kick in range(_KICKS):

@@ -7,7 +7,8 @@ in the smallest ``doc_id`` that holds them.
 ``LineIndex`` keeps, below one folder, which document holds which key (``postings``), one chain
 of cuckoo filters per shard of keys (``filters``), and the documents counted and the smallest
 one for keys held more than once (``references``). A batch of documents asks the filters which
-of its keys may be known; only those are counted exactly. Taking documents out lowers the
+of its keys may be known; only those are counted exactly. A key that is new by the exact tables
+gets a print of its own even where it looks known, so that each held key owns one. Taking documents out lowers the
 counts, and keys that nobody holds any more leave the filters, so that an insertion can be
 undone. Every change writes a new version; a version is never altered.
 
@@ -25,6 +26,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,7 +83,7 @@ def line_keys(rows: DataFrame, least_chars: int) -> DataFrame:
     return map_batches(rows, fields, cut)
 
 
-_FILTERS = "shard int, key binary, filter binary"
+_FILTERS = "shard int, key binary, asked boolean, filter binary"
 
 
 def _hashes(keys: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -89,49 +91,74 @@ def _hashes(keys: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(key[:8] for key in keys.to_pylist()), np.uint64)
 
 
+def _stored(shard: int, chain: CuckooFilter, keys: tuple[bytes, ...] = (), asked: tuple[bool, ...] = ()) -> pa.Table:
+    n = len(keys) + 1
+    return pa.table(
+        {
+            "shard": pa.array([shard] * n, pa.int32()),
+            "key": pa.array([*keys, None], pa.binary()),
+            "asked": pa.array([*asked, False], pa.bool_()),
+            "filter": pa.array([None] * len(keys) + [pickle.dumps(chain)], pa.binary()),
+        }
+    )
+
+
 def _probe(known: pa.Table, new: pa.Table) -> pa.Table:
     """Put the new keys of a shard into its filter; returns those that may have been there, and
-    the filter."""
+    the filter. ``asked`` are keys that look like members of an earlier version and are not put
+    in: whether they are is for the exact tables to say."""
     shard = (new if new.num_rows else known).column("shard")[0].as_py()
     kept = [pickle.loads(value) for value in known.column("filter").to_pylist() if value]
     chain = kept[0] if kept else CuckooFilter(max(64, new.num_rows))
     maybe: list[bytes] = []
+    alike: list[bytes] = []
+    put = [pa.array([], pa.binary())]
     for batch in new.to_batches(max_chunksize=1 << 16):
-        hashes = _hashes(column(batch, "key"))
+        keys = column(batch, "key")
+        hashes = _hashes(keys)
         unique, at = np.unique(hashes, return_index=True)
         repeated = np.ones(len(hashes), bool)
         repeated[at] = chain.contains(unique)
         fresh = ~repeated
+        alike += keys.filter(pa.array(repeated)).to_pylist()
         repeated |= column(batch, "again").to_numpy(zero_copy_only=False)
         chain.insert(hashes[fresh])
-        maybe += column(batch, "key").filter(pa.array(repeated)).to_pylist()
-    keys = list(dict.fromkeys(maybe))
-    n = len(keys) + 1
-    return pa.table(
-        {
-            "shard": pa.array([shard] * n, pa.int32()),
-            "key": pa.array([*keys, None], pa.binary()),
-            "filter": pa.array([None] * len(keys) + [pickle.dumps(chain)], pa.binary()),
-        }
-    )
+        put.append(keys.filter(pa.array(fresh)))
+        maybe += keys.filter(pa.array(repeated)).to_pylist()
+    looked = pa.array(list(dict.fromkeys(alike)), pa.binary())
+    own = pa.chunked_array(put, pa.binary())
+    own = own.filter(pc.is_in(own, value_set=looked)).combine_chunks()  # put in by this batch
+    asked = looked.filter(pc.invert(pc.is_in(looked, value_set=own)))
+    if not kept:  # nothing was there before: all of them are new
+        chain.insert(_hashes(asked))
+        asked = asked.slice(0, 0)
+    unsure = set(asked.to_pylist())
+    keys = tuple(dict.fromkeys(maybe))
+    return _stored(shard, chain, keys, tuple(key in unsure for key in keys))
+
+
+def _kept(known: pa.Table) -> tuple[int, CuckooFilter] | None:
+    kept = [pickle.loads(value) for value in known.column("filter").to_pylist() if value]
+    return (known.column("shard")[0].as_py(), kept[0]) if kept else None
 
 
-def _forget(known: pa.Table, gone: pa.Table) -> pa.Table:
-    """The filter of a shard without keys that nobody holds any more."""
-    kept = [pickle.loads(value) for value in known.column("filter").to_pylist() if value]
-    if not kept:
-        return pa.table({name: pa.array([], kind) for name, kind in _ARROW})
-    kept[0].remove(_hashes(gone.column("key")))
-    return pa.table(
-        {
-            "shard": pa.array([known.column("shard")[0].as_py()], pa.int32()),
-            "key": pa.array([None], pa.binary()),
-            "filter": pa.array([pickle.dumps(kept[0])], pa.binary()),
-        }
-    )
+_NO_FILTER = pa.schema([("shard", pa.int32()), ("key", pa.binary()), ("asked", pa.bool_()), ("filter", pa.binary())])
+
 
+def _add(known: pa.Table, new: pa.Table) -> pa.Table:
+    """The filter of a shard with keys that looked like members and are none."""
+    if (held := _kept(known)) is None:
+        return _NO_FILTER.empty_table()
+    held[1].insert(_hashes(new.column("key")))
+    return _stored(*held)
 
-_ARROW = (("shard", pa.int32()), ("key", pa.binary()), ("filter", pa.binary()))
+
+def _forget(known: pa.Table, gone: pa.Table) -> pa.Table:
+    """The filter of a shard without keys that nobody holds any more."""
+    if (held := _kept(known)) is None:
+        return _NO_FILTER.empty_table()
+    held[1].remove(_hashes(gone.column("key")))
+    return _stored(*held)
 
 
 @dataclass(frozen=True)
@@ -193,6 +220,12 @@ class LineIndex:
         )
         filters = self._written(probed, "filters")
         candidates = self.spark.read.parquet(filters).where("key IS NOT NULL").select("key")
+        if self.postings_paths:
+            asked = self.spark.read.parquet(filters).where("asked").select("shard", "key")
+            held = self.postings().join(asked, "key", "left_semi").select("key").distinct()
+            missed = asked.join(held, "key", "left_anti").select("shard", "key")
+            stored = self.spark.read.parquet(filters).where("key IS NULL").groupBy("shard")
+            filters = self._written(stored.cogroup(missed.groupBy("shard")).applyInArrow(_add, _FILTERS), "filters")
         paths = (*self.postings_paths, added)
         counted = self._counted(candidates, paths)
         untouched = self.references().join(candidates, "key", "left_anti")
