@@ -105,6 +105,34 @@ def test_secrets():
     assert secrets_scan.spans_of("") == []
 
 
+def _unpadded(text):
+    return base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+
+
+def _confirmed(text):
+    return [(kind, text[a:b]) for kind, a, b in secrets_scan.spans_of(text) if kind not in secrets_scan.BASE]
+
+
+@pytest.mark.parametrize("header", ['{ "alg": "HS256"}', '{\n"alg": "HS256"}', '{\n "alg": "HS256"}', '\n{"alg": "HS256"}'])
+def test_tokens_with_blanks_in_their_json(header):
+    token = f"{_unpadded(header)}.{_unpadded('{ ' + chr(34) + 'sub' + chr(34) + ': 1}')}.c2lnbmF0dXJl"
+    assert _confirmed(f"see {token} here") == [("jwt", token)]
+
+
+@pytest.mark.parametrize("text", ["It is {}. Next", "It is {}.", "It is {}...", "end.{} x", "a -{} x", "longer-word-{}", "({})"])
+def test_tokens_beside_dots_and_dashes(text):
+    assert _confirmed(text.format(TOKEN)) == [("jwt", TOKEN)]
+
+
+def test_no_token_of_four_parts():
+    assert _confirmed(f"{TOKEN}.part x") == [] == _confirmed("some.words.with dots.in.them and x.y.z.")
+
+
+@pytest.mark.parametrize("text", ["0x{}", "key=0X{};", "x {} y"])
+def test_hex_keys_after_0x(text):
+    assert _confirmed(text.format(KEY.hex())) == [("der", KEY.hex())]
+
+
 def test_base_spans_are_those_of_the_patterns(docs, rows, nothing):
     for text in ["token=short", "secret : 0123456789ab token='0123456789abcdef'", "deadbeef" * 5 + "G", "ſecret=abcdefghijklmnop"]:
         expected = []

@@ -38,12 +38,18 @@ BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "jwt", "der", "ssh")
 
 _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+# Possessive runs, each tried from its first character only. A token can follow other parts ("end.eyJ..."),
+# and no fourth part may follow it.
+_TOKEN = re.compile(
+    r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+)(?!\.[A-Za-z0-9_-]))"
+)
+#: Where a header can start: after dashes too, with a brace or a blank before it.
+_HEADER = re.compile(r"(?<![^-])[eICD]")
 _PEM = re.compile(
     r"-----BEGIN ([A-Z0-9 ]+)-----\s*((?:[A-Za-z-]+:[^\n]*\n)*)\s*([A-Za-z0-9+/=\s]+?)\s*-----END \1-----"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-_ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){16,}(?![0-9A-Za-z])")
+_ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:0[xX])?((?:[0-9a-fA-F]{2}){16,})(?![0-9A-Za-z])")
 _BLANKS = re.compile(r"\s+")
 
 SPANS = T.ArrayType(
@@ -145,11 +151,13 @@ def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:
             if kind or match[2]:  # a body after headers is encrypted: the frame has to do
                 covered.append(match.span())
                 yield kind or "der", *match.span()
-    if "eyJ" in text:
-        for match in _TOKEN.finditer(text):
-            if is_signed_token(match[1], match[2]):
-                covered.append(match.span())
-                yield "jwt", *match.span()
+    for match in _TOKEN.finditer(text):
+        for start in _HEADER.finditer(match[1]):
+            if is_signed_token(match[1][start.start() :], match[2]):
+                span = (match.start(1) + start.start(), match.end(3))
+                covered.append(span)
+                yield "jwt", *span
+                break
     for match in _BASE64.finditer(text):
         # a DER sequence starts with 0x30, an OpenSSH key with "openssh" or a length below 2^16
         if match[0][0] in "MbA" and not _inside(match.span(), covered):
@@ -157,10 +165,10 @@ def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:
             if kind:
                 yield kind, *match.span()
     for match in _ANY_HEX.finditer(text):
-        if match[0].startswith(("30", "00", "6f", "6F")):
-            kind = _kind_of(bytes.fromhex(match[0]))
+        if match[1].startswith(("30", "00", "6f", "6F")):
+            kind = _kind_of(bytes.fromhex(match[1]))
             if kind:
-                yield kind, *match.span()
+                yield kind, *match.span(1)
 
 
 def _inside(span: tuple[int, int], outer: list[tuple[int, int]]) -> bool:
