@@ -59,8 +59,3 @@ def inbox(spark):
         ).select(*MESSAGE.fieldNames())
 
     return build
-
-
-def plan_of(df):
-    """The physical plan before adaptive execution, as text."""
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import plan_of
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 from trolley.functions import compact_line, is_one_json, record_json, wire_timestamp

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import plan_of
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 from trolley.operators import (

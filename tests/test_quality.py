@@ -1,4 +1,4 @@
-from conftest import plan_of
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 from trolley.operators import accepted, activity_rules, count_rows, decode, rule_violations, sample_rows

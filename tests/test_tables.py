@@ -6,7 +6,7 @@ import re
 import string
 
 import pytest
-from conftest import plan_of
+from plan_text import plan_of
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
