@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import by_row
+from result_rows import by_row
 from trolley.llm import line_dedup, ngram_join, substring_dedup, suffix_dedup
 from trolley.llm.cuckoo import CuckooFilter
 from trolley.llm.line_dedup import LineIndex

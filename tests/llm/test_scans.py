@@ -7,7 +7,7 @@ import re
 import pytest
 import sentencepiece
 
-from conftest import by_row
+from result_rows import by_row
 from trolley.llm import decontamination, fingerprints, secrets_scan, sentencepiece_codec
 
 
