@@ -14,6 +14,7 @@ from trolley.llm import (
     fingerprints,
     line_dedup,
     ngram_join,
+    page_queries,
     quality,
     secrets_scan,
     sentencepiece_codec,
@@ -122,6 +123,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_fingerprints": op10_fingerprints,
+    **page_queries.QUERIES,
 }
 
 SQL: dict[str, str] = {
@@ -205,3 +207,5 @@ SQL: dict[str, str] = {
         FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
     """,
 }
+
+SQL |= page_queries.SQL
