@@ -3,9 +3,10 @@ express it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trolley.llm import url_filters
+from trolley.llm import conversation_repair, url_filters
 from trolley.llm.arrow_maps import ready
 
 # The rules of the contract.
@@ -23,7 +24,33 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, rules).drop("url")
 
 
-QUERIES = {"op11_url_filters": op11_url_filters}
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns dropped, emptied, cut, repeated and given to the user, by a checksum of their place."""
+
+    def spaced(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    fate = F.crc32(F.encode(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")), "UTF-8")) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.translate(spaced("text"), ".!?", "")).otherwise(spaced("text"))
+    times = F.when(fate == 0, 0).when(fate == 3, 2).otherwise(1)
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, "user").otherwise(spaced("role")).alias("role"),
+        text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), times)).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = ready(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.digests(damaged(conversations), known=conversations)
+
+
+QUERIES = {
+    "op11_url_filters": op11_url_filters,
+    "op13_conversation_repair": op13_conversation_repair,
+}
 
 SQL: dict[str, str] = {
     "op11_url_filters": r"""
