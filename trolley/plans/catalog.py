@@ -7,11 +7,11 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.plans import batch_queries, stored_queries, stream_queries
+from trolley.plans import batch_queries, kept_queries, stored_queries, stream_queries
 from trolley.plans.registry import Query
 from trolley.session import configure
 
-_MODULES = (batch_queries, stored_queries, stream_queries)
+_MODULES = (batch_queries, stored_queries, stream_queries, kept_queries)
 
 
 def _registered() -> list[Query]:

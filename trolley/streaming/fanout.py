@@ -17,6 +17,9 @@ from trolley.operators.dedup import ARRIVAL, drop_replays, earliest_per_key
 from trolley.operators.keys import BROADCAST_BYTES, key_bytes, measured_bytes, new_rows
 from trolley.operators.sample import sample_rows
 from trolley.schemas import METRICS
+from trolley.sinks.coverage import OffsetCoverage
+from trolley.sinks.keyed import KeyedTable
+from trolley.sinks.publication import Publication
 from trolley.sinks.tables import BatchFolders, Table
 
 log = logging.getLogger(__name__)
@@ -27,7 +30,10 @@ _ID_BYTES = 32 + 64
 
 @dataclass(frozen=True)
 class Targets:
-    """The tables a job fills; those left out are not computed."""
+    """The tables a job fills; those left out are not computed.
+
+    ``coverage`` keeps which offsets came, ``publication`` the last batch that is in all tables.
+    """
 
     users: Table | None = None
     interactions: Table | None = None
@@ -35,6 +41,8 @@ class Targets:
     quarantine: Table | None = None
     metrics: Table | None = None
     partial: Table | None = None
+    coverage: OffsetCoverage | None = None
+    publication: Publication | None = None
 
     def __post_init__(self) -> None:
         if isinstance(self.users, BatchFolders):
@@ -96,6 +104,8 @@ def fan_out(
     if targets.metrics is not None and counts:
         measured = [(batch_id, name, n) for name, n in counts.items()]
         targets.metrics.write(decoded.sparkSession.createDataFrame(measured, METRICS), batch_id)
+    if targets.publication is not None:
+        targets.publication.mark(decoded.sparkSession, batch_id)
     return counts
 
 
@@ -196,7 +206,9 @@ def _fan_out(
         if targets.partial is not None and extent.n_partial > 0:
             store_by_id("partial", targets.partial, "quarantine_id", partials(batch), extent.n_partial)
         if n_good > 0:
-            if targets.users is not None:
+            if isinstance(targets.users, KeyedTable):
+                counts["users"] = _improve(good, targets.users, batch_id, samples)
+            elif targets.users is not None:
                 store(
                     "users",
                     targets.users,
@@ -219,6 +231,8 @@ def _fan_out(
             if targets.feedback is not None:
                 facts = feedback(good, "ingest_ts", clock=clock)
                 store_by_id("user_feedback", targets.feedback, "feedback_id", facts, n_good)
+        if targets.coverage is not None:
+            targets.coverage.add_decoded(batch, batch_id)
 
 
 @contextmanager
@@ -236,6 +250,16 @@ def _held(decoded: DataFrame, staging: str | None, batch_id: int) -> Iterator[Da
         yield decoded.sparkSession.read.schema(decoded.schema).parquet(folder)
 
 
+def _improve(good: DataFrame, target: KeyedTable, batch_id: int, samples: int) -> int:
+    """Add the users of a batch that are new to ``target`` or earlier than what it has of them."""
+    rows = target.improved(users(good, *target.order), keys=good)
+    first = earliest_per_key(rows, target.key, target.order, keep_order=True)
+    n = _write_if_any(first, target, batch_id, samples)
+    if n and target.due(good.sparkSession):
+        target.fold(good.sparkSession)
+    return n
+
+
 def _write_if_any(rows: DataFrame, target: Table, batch_id: int, samples: int) -> int:
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
