@@ -44,7 +44,7 @@ _BLANK[[9, 32]] = True
 
 LONGEST = 4
 #: Bytes of text that are tokenized at once, and pointers that are sorted at once.
-_BLOCK, _SHARD = 8 << 20, 1 << 18
+_BLOCK, _SHARD = 4 << 20, 1 << 18
 #: Bits of a bitmap: so many per entry, and at most (32 MB); it lets some more pass beyond.
 _BITS_PER_ENTRY, _MOST_BITS, _CHUNK_BITS = 32, 1 << 28, 1 << 15
 
