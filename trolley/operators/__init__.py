@@ -15,11 +15,12 @@ from trolley.operators.quality import (
     missing_references,
     rule_violations,
 )
-from trolley.operators.sample import count_rows, sample_rows
+from trolley.operators.sample import bottom_k, count_rows, sample_rows
 
 __all__ = [
     "accepted",
     "activity_rules",
+    "bottom_k",
     "broadcast_if_small",
     "count_rows",
     "decode",

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators import accepted, decode, earliest_per_key, users
+from trolley.operators import accepted, bottom_k, decode, earliest_per_key, users
 from trolley.operators.dedup import ARRIVAL
+from trolley.operators.drift import type_counts
+from trolley.operators.sample import lot
+from trolley.operators.sketches import DISTINCT_ERROR, RANK_ERROR, estimates, merged, sketched
 from trolley.plans.batch_queries import _FIRST_USERS, _STORED, stored_users
-from trolley.plans.inputs import TOPIC, field_sql, messages, table, zoneless
+from trolley.plans.inputs import TOPIC, envelope, events_of, field_sql, messages, table, zoneless
 from trolley.plans.registry import Registry
 from trolley.schemas import (
     ACTIVITY,
@@ -18,11 +21,12 @@ from trolley.schemas import (
     INTERACTIONS,
     USERS,
     USERS_PAYLOAD,
+    narrowed,
 )
 from trolley.session import scratch_dir
 from trolley.sinks import BatchFolders, KeyedTable, LandedFiles, OffsetCoverage, Publication
 from trolley.sources import message_files
-from trolley.streaming import Targets, await_query, land_parquet, start_curation, start_users
+from trolley.streaming import Targets, await_query, land_parquet, land_variant, start_curation, start_users
 
 QUERIES = Registry()
 
@@ -182,3 +186,92 @@ def stream_users_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = message_files(spark, path, max_files=spark.sparkContext.defaultParallelism)
     await_query(start_users(stream, stored, f"{root}/checkpoint", trigger={"availableNow": True}))
     return zoneless(stored.read(spark))
+
+
+# --- metrics, samples, types ----------------------------------------------------------------
+
+
+@QUERIES.add(
+    """
+SELECT 'distinct users' AS name, count(*) AS n_rows, true AS within FROM events
+UNION ALL SELECT unnest(['session quantile 0.5', 'session quantile 0.9', 'session quantile 0.99']), count(*), true
+FROM events"""
+)
+def sketched_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether distinct users and session quantiles, merged from a sketch per batch, are within the
+    stated error of the exact ones."""
+    records = accepted(decode(messages(spark, sf_dir, "user_id", "session_duration"), narrowed("session_duration")))
+    batches = records.withColumn("batch_id", F.col("ingest_offset") % 7)
+    sketches = sketched(batches, distinct="user_id", measured="session_duration", by=["batch_id"])
+    asked = (0.5, 0.9, 0.99)
+    said = estimates(merged(sketches), asked).first()
+    duration, slack = F.col("session_duration"), 2 * RANK_ERROR
+    within = {
+        "distinct users": F.abs(F.count_distinct("user_id") - said.n_distinct)
+        <= 4 * DISTINCT_ERROR * F.count_distinct("user_id") + 1
+    }
+    for q, value in zip(asked, said.quantiles):  # where the ranks of the value begin and end
+        below, upto = F.count_if(duration < value), F.count_if(duration <= value)
+        n = F.count("*")
+        within[f"session quantile {q}"] = (below <= (q + slack) * n) & (upto >= (q - slack) * n)
+    rows = F.array(*(F.struct(F.lit(name).alias("name"), ok.alias("within")) for name, ok in within.items()))
+    judged = records.agg(rows.alias("rows"))
+    return judged.select(F.inline("rows")).withColumn("n_rows", F.lit(said.n_rows))
+
+
+@QUERIES.add(
+    """
+SELECT event_id, event_type, lot FROM (
+  SELECT event_id, event_type, md5(concat('7|', event_id)) AS lot,
+    row_number() OVER (PARTITION BY event_type ORDER BY md5(concat('7|', event_id)), event_id) AS n FROM events) AS r
+WHERE n <= 25"""
+)
+def sample_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty-five events of each type, the same ones in every run."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return bottom_k(events, 25, ["event_id"], by=["event_type"], seed=7).withColumn("lot", lot(["event_id"], 7))
+
+
+# Messages whose amount is a number, a text, null or missing, some with a key nobody knows.
+def _drifting(spark: SparkSession, sf_dir: str, waves: int = 1) -> DataFrame:
+    value = F.expr(
+        """concat('{"id":', event_id,
+            CASE event_id % 5 WHEN 0 THEN concat(',"amount":', event_id) WHEN 1 THEN concat(',"amount":"', event_id, '"')
+                 WHEN 2 THEN ',"amount":null' ELSE '' END,
+            CASE WHEN event_id % 7 = 0 THEN concat(',"coupon":{"code":"c', event_id, '","used":[true,1]}') ELSE '' END, '}')"""
+    )
+    return envelope(events_of(spark, sf_dir, waves), value)
+
+
+@QUERIES.add(
+    """
+SELECT * FROM (
+  SELECT '$' AS path, 'OBJECT' AS type, count(*) AS n FROM events
+  UNION ALL SELECT '$.id', 'BIGINT', count(*) FROM events
+  UNION ALL SELECT '$.amount', CASE event_id % 5 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'STRING' ELSE 'VOID' END, count(*)
+    FROM events WHERE event_id % 5 < 3 GROUP BY 2
+  UNION ALL SELECT unnest(['$.coupon', '$.coupon.code', '$.coupon.used', '$.coupon.used[*]', '$.coupon.used[*]']),
+    unnest(['OBJECT', 'STRING', 'ARRAY', 'BOOLEAN', 'BIGINT']), count(*) FROM events WHERE event_id % 7 = 0) AS t
+WHERE n > 0"""
+)
+def type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path, type and count of everything that landed, known or not."""
+    root = scratch_dir(spark, "type_drift")
+    _drifting(spark, sf_dir, waves=2).write.parquet(f"{root}/messages")
+    stream = message_files(spark, f"{root}/messages", max_files=spark.sparkContext.defaultParallelism)
+    await_query(land_variant(stream, f"{root}/out", f"{root}/checkpoint", trigger={"availableNow": True}))
+    return type_counts(spark.read.parquet(f"{root}/out"))
+
+
+@QUERIES.add(
+    """
+SELECT event_id AS ingest_offset, concat('c', event_id) AS coupon FROM events WHERE event_id % 7 = 0"""
+)
+def landing_unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key that no schema has, read from what landed."""
+    root = scratch_dir(spark, "landing_unknown_keys")
+    _drifting(spark, sf_dir, waves=2).write.parquet(f"{root}/messages")
+    stream = message_files(spark, f"{root}/messages", max_files=spark.sparkContext.defaultParallelism)
+    await_query(land_variant(stream, f"{root}/out", f"{root}/checkpoint", trigger={"availableNow": True}))
+    landed = spark.read.parquet(f"{root}/out")
+    return landed.select("ingest_offset", F.try_variant_get("record", "$.coupon.code", "string").alias("coupon")).where("coupon IS NOT NULL")

@@ -7,20 +7,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators import missing_references, new_rows
+from trolley.operators import accepted, decode, interactions, missing_references, new_rows
 from trolley.plans.batch_queries import (
     _DISTINCT_NEW,
     _FIRST_USERS,
+    _INTERACTION_COLUMNS,
+    _facts_sql,
     stored_users,
     users_distinct,
     users_first_seen,
 )
-from trolley.plans.inputs import table, zoneless
+from trolley.plans.inputs import messages, table, zoneless
 from trolley.plans.registry import Registry
-from trolley.schemas import USERS
+from trolley.schemas import FACTS_PAYLOAD, INTERACTIONS, USERS
 from trolley.session import is_local, scratch_dir
-from trolley.sinks import JdbcTable, ParquetTable, Table, write_bucketed
-from trolley.sources import Jdbc, column_bounds, key_ranges, read_query, read_table
+from trolley.sinks import JdbcTable, LedgerTable, ParquetTable, Table, write_bucketed
+from trolley.sources import Jdbc, column_bounds, even_starts, key_ranges, read_query, read_table
 
 QUERIES = Registry()
 
@@ -130,6 +132,39 @@ def jdbc_new_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _added_twice(spark, sf_dir, users)
 
 
+@QUERIES.add(_facts_sql("interaction", _INTERACTION_COLUMNS, '"timestamp"', "interaction_date"))
+def jdbc_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interactions in batches, each of which is written twice; no stored id is looked up."""
+    db, name = _database(spark), _name("interactions")
+    types = ", ".join(f"{f.name} varchar(64)" for f in INTERACTIONS if f.dataType.typeName() == "string")
+    facts = LedgerTable(JdbcTable(db, name, INTERACTIONS, column_types=types), "curation", "interaction_id")
+    facts.create(spark)
+    for batch in (0, 1):
+        mine = messages(spark, sf_dir, *FACTS_PAYLOAD.fieldNames(), where=f"event_id % 2 = {batch}")
+        rows = interactions(accepted(decode(mine, FACTS_PAYLOAD)))
+        for _ in range(2):
+            facts.write(rows, batch)
+    return zoneless(facts.read(spark))
+
+
+@QUERIES.add(
+    """
+SELECT count(*) AS n_rows, true AS even FROM events"""
+)
+def jdbc_even_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a table over ranges of skewed text keys, and whether the largest range has at most
+    twice the mean."""
+    db, name = _database(spark), _name("skewed")
+    skewed = F.expr("concat(CASE WHEN event_id % 10 < 9 THEN 'zürich-' ELSE 'a' END, string(event_id))").alias("key_id")
+    keys = table(spark, sf_dir, "events").select(skewed)
+    JdbcTable(db, name, keys.schema).write(keys)
+    ranges = key_ranges(db, "key_id", even_starts(spark, db, name, "key_id", 8))
+    split = read_table(spark, db, name, predicates=ranges)
+    sizes = split.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+    even = F.max("n") <= 2 * F.sum("n") / len(ranges)
+    return sizes.agg(F.sum("n").alias("n_rows"), even.alias("even"))
+
+
 @QUERIES.add(_FIRST_USERS)
 def parquet_new_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a folder of Parquet files."""

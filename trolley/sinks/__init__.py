@@ -5,6 +5,7 @@ from trolley.sinks.coverage import OffsetCoverage
 from trolley.sinks.files import Commits
 from trolley.sinks.kafka import publish, to_messages
 from trolley.sinks.keyed import KeyedTable
+from trolley.sinks.ledger import LedgerTable
 from trolley.sinks.publication import Publication
 from trolley.sinks.tables import BatchFolders, JdbcTable, ParquetTable, Table, write_bucketed
 
@@ -14,6 +15,7 @@ __all__ = [
     "JdbcTable",
     "KeyedTable",
     "LandedFiles",
+    "LedgerTable",
     "OffsetCoverage",
     "ParquetTable",
     "Publication",

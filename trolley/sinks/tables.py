@@ -138,10 +138,13 @@ class JdbcTable:
     by_day: bool = False
     key: str | None = None
 
-    def create(self, spark: SparkSession) -> None:
+    def written(self) -> T.StructType:
+        """The columns of the table."""
         day = [T.StructField("ingest_day", T.DateType())] if self.by_day else []
-        empty = spark.createDataFrame([], T.StructType([*self.schema.fields, *day]))
-        self._writer(empty).mode("ignore").save()
+        return T.StructType([*self.schema.fields, *day])
+
+    def create(self, spark: SparkSession) -> None:
+        self._writer(spark.createDataFrame([], self.written())).mode("ignore").save()
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self._rows(spark, self._key()).select(*self.schema.fieldNames())
@@ -154,8 +157,15 @@ class JdbcTable:
         return rows.select(key)
 
     def write(self, rows: DataFrame, batch_id: int = 0) -> None:
+        self._writer(self._as_written(rows)).mode("append").save()
+
+    def replace(self, rows: DataFrame, name: str) -> None:
+        """Make another table ``name`` of the same columns that holds just ``rows``."""
+        self._writer(self._as_written(rows)).option("dbtable", name).mode("overwrite").save()
+
+    def _as_written(self, rows: DataFrame) -> DataFrame:
         day = [F.to_date("ingest_ts").alias("ingest_day")] if self.by_day else []
-        self._writer(rows.select(*self.schema.fieldNames(), *day)).mode("append").save()
+        return rows.select(*self.schema.fieldNames(), *day)
 
     def _rows(self, spark: SparkSession, key: str | None) -> DataFrame:
         """The table over one connection per predicate, or range of ``key``."""

@@ -93,3 +93,25 @@ def key_ranges(db: Jdbc, column: str, starts: Sequence[str] = string.hexdigits[1
     first = f"({name} < {quoted[0]} OR {name} IS NULL)"
     inner = [f"({name} >= {lo} AND {name} < {hi})" for lo, hi in zip(quoted, quoted[1:])]
     return [first, *inner, f"({name} >= {quoted[-1]})"]
+
+
+def even_starts(spark: SparkSession, db: Jdbc, table: str, column: str, parts: int = 16) -> list[str]:
+    """Keys that cut a table into ``parts`` ranges of as many rows, for ``key_ranges``.
+
+    The database finds them by its own order of the column, whatever alphabet the keys have; with an
+    index on it that is a walk along the index. A key that many rows share is one cut, so that fewer
+    ranges may come out. Nulls are left out here and are part of the first range.
+    """
+    name = db.quote(column)
+    n = read_query(spark, db, f"SELECT COUNT({name}) AS n FROM {table}").first()[0]
+    cuts = {n * i // parts for i in range(1, parts)} - {0}
+    found = [read_query(spark, db, _row_at(db, table, name, place)).first() for place in sorted(cuts)]
+    return list(dict.fromkeys(row[0] for row in found if row is not None))
+
+
+def _row_at(db: Jdbc, table: str, name: str, place: int) -> str:
+    """The key that has ``place`` keys before it."""
+    ordered = f"SELECT {name} AS k FROM {table} WHERE {name} IS NOT NULL ORDER BY {name}"
+    if db.url.startswith(("jdbc:mysql:", "jdbc:mariadb:", "jdbc:sqlite:")):
+        return f"{ordered} LIMIT 1 OFFSET {place}"
+    return f"{ordered} OFFSET {place} ROWS FETCH NEXT 1 ROWS ONLY"

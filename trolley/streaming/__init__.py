@@ -10,7 +10,7 @@ from trolley.streaming.jobs import (
     start_facts,
     start_users,
 )
-from trolley.streaming.landing import land_json, land_parquet, land_rejects
+from trolley.streaming.landing import land_json, land_parquet, land_rejects, land_variant
 
 __all__ = [
     "EVERY_20_SECONDS",
@@ -21,6 +21,7 @@ __all__ = [
     "land_json",
     "land_parquet",
     "land_rejects",
+    "land_variant",
     "start_all",
     "start_curation",
     "start_facts",

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trolley.functions import WIRE_TIMESTAMP, compact_line, is_object, is_one_json
 from trolley.operators.decode import decode, rejected, unreadable
+from trolley.operators.drift import record
 from trolley.schemas import ACTIVITY
 from trolley.streaming.jobs import Trigger
 
@@ -78,6 +79,21 @@ def land_json(
     return _start(lines, "text", path, checkpoint, trigger, [])
 
 
+def land_variant(
+    messages: DataFrame, path: str, checkpoint: str, *, trigger: Trigger = None
+) -> StreamingQuery:
+    """Whatever is JSON as a variant, ``record``, with the offset: unknown keys and the types that
+    values were sent with survive (see ``trolley.operators.drift``)."""
+    rows = messages.where(_is_payload()).select(
+        F.col("topic").alias("ingest_topic"),
+        F.col("partition").alias("ingest_partition"),
+        F.col("offset").alias("ingest_offset"),
+        F.col("timestamp").alias("ingest_ts"),
+        record(_text()).alias("record"),
+    )
+    return _start(rows, "parquet", path, checkpoint, trigger, [])
+
+
 def _text() -> Column:
     return F.col("value").cast("string")
 
