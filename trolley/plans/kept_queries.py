@@ -216,7 +216,7 @@ def sketched_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         within[f"session quantile {q}"] = (below <= (q + slack) * n) & (upto >= (q - slack) * n)
     rows = F.array(*(F.struct(F.lit(name).alias("name"), ok.alias("within")) for name, ok in within.items()))
     judged = records.agg(rows.alias("rows"))
-    return judged.select(F.inline("rows")).withColumn("n_rows", F.lit(said.n_rows))
+    return judged.select(F.inline("rows")).withColumn("n_rows", F.lit(said.n_rows).cast("long"))
 
 
 @QUERIES.add(
