@@ -6,24 +6,27 @@ runs of base64 or hex are decoded and reported as what their bytes turn out to b
 ``der``  a key or certificate: one DER sequence whose nested lengths all fit
 ``ssh``  an OpenSSH key: fields with length prefixes that fill the value
 ``jwt``  a signed token: header and claims are JSON objects, the header names an algorithm
+``pem``  an encrypted key: its frame names a cipher and a vector, and the body is whole blocks
 
-A PEM block counts as ``der`` from its first to its last dash when its body is. Spans are code
-points of the whole text, end exclusive; null and empty texts have none.
+A frame (``-----BEGIN``) counts from its first to its last dash as what its body is. Keys without a
+frame may start anywhere in a run of base64 and go over several lines (``key_structures``). Spans are
+code points of the whole text, end exclusive; null and empty texts have none. Scanning takes time in
+proportion to the length of a text.
 """
 
 from __future__ import annotations
 
-import base64
-import binascii
-import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trolley.llm.key_structures import LEAST_BYTES, frames, is_der, is_ssh, keys_in, token_start
 from trolley.llm.arrow_maps import Batches, column, map_batches, narrow, small, texts_of
 
 # The patterns and least lengths of the contract.
@@ -35,7 +38,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 12, 18, 16
 
 BASE = ("assign", "access", "hex")
-KINDS = (*BASE, "jwt", "der", "ssh")
+KINDS = (*BASE, "jwt", "der", "ssh", "pem")
 
 _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
 # Possessive runs, each tried from its first character only. A token can follow other parts ("end.eyJ..."),
@@ -43,14 +46,10 @@ _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
 _TOKEN = re.compile(
     r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+)(?!\.[A-Za-z0-9_-]))"
 )
-#: Where a header can start: after dashes too, with a brace or a blank before it.
-_HEADER = re.compile(r"(?<![^-])[eICD]")
-_PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]+)-----\s*((?:[A-Za-z-]+:[^\n]*\n)*)\s*([A-Za-z0-9+/=\s]+?)\s*-----END \1-----"
-)
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
+#: Base64 that may go on over line breaks.
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
+_LEAST_BASE64 = 4 * LEAST_BYTES // 3
 _ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:0[xX])?((?:[0-9a-fA-F]{2}){16,})(?![0-9A-Za-z])")
-_BLANKS = re.compile(r"\s+")
 
 SPANS = T.ArrayType(
     T.StructType(
@@ -64,81 +63,7 @@ SPANS = T.ArrayType(
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _der_value(data: bytes, at: int, end: int, depth: int) -> int:
-    """End of the DER value at ``at``, or -1 where a length does not fit."""
-    if end - at < 2:
-        return -1
-    tag, first = data[at], data[at + 1]
-    at += 2
-    length = first
-    if first >= 0x80:
-        n = first & 0x7F
-        if not 1 <= n <= 4 or at + n > end:
-            return -1
-        length = int.from_bytes(data[at : at + n], "big")
-        at += n
-        if length < 0x80 or length >> 8 * (n - 1) == 0:
-            return -1
-    if tag & 0x1F == 0x1F or tag == 0 or at + length > end:
-        return -1
-    if tag & 0x20:
-        if depth == 0:
-            return -1
-        inner = at
-        while inner < at + length:
-            inner = _der_value(data, inner, at + length, depth - 1)
-            if inner < 0:
-                return -1
-    return at + length
-
-
-def is_der(data: bytes) -> bool:
-    """One sequence that fills ``data``, with more than one member and lengths that nest."""
-    if len(data) < 16 or data[0] != 0x30 or _der_value(data, 0, len(data), 16) != len(data):
-        return False
-    start = 2 + (data[1] & 0x7F if data[1] >= 0x80 else 0)
-    return _der_value(data, start, len(data), 16) < len(data)
-
-
-def is_ssh(data: bytes) -> bool:
-    """An OpenSSH private key, or a public one: length-prefixed fields up to the end."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
-    at, fields = 0, 0
-    while at + 4 <= len(data):
-        length = int.from_bytes(data[at : at + 4], "big")
-        if fields == 0 and not re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", data[4 : 4 + length]):
-            return False
-        at += 4 + length
-        fields += 1
-    return fields >= 2 and at == len(data)
-
-
-def decode64(text: str) -> bytes | None:
-    """Bytes of base64 text in either alphabet, with or without padding."""
-    text = text.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(text) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(text + "=" * (-len(text) % 4), validate=True)
-    except binascii.Error:
-        return None
-
-
-def is_signed_token(header: str, claims: str) -> bool:
-    parts = []
-    for text in (header, claims):
-        data = decode64(text)
-        try:
-            parts.append(json.loads(data.decode()) if data else None)
-        except (UnicodeDecodeError, ValueError, RecursionError):
-            return False
-    return all(isinstance(part, dict) for part in parts) and isinstance(parts[0].get("alg"), str)
-
-
-def _kind_of(data: bytes | None) -> str | None:
-    if data is None:
-        return None
+def _kind_of(data: bytes) -> str | None:
     return "der" if is_der(data) else "ssh" if is_ssh(data) else None
 
 
@@ -146,24 +71,26 @@ def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:
     """Spans whose decoded bytes are a key or a token."""
     covered = []
     if "-----BEGIN" in text:
-        for match in _PEM.finditer(text):
-            kind = _kind_of(decode64(_BLANKS.sub("", match[3])))
-            if kind or match[2]:  # a body after headers is encrypted: the frame has to do
-                covered.append(match.span())
-                yield kind or "der", *match.span()
+        for kind, start, end in frames(text):
+            covered.append((start, end))
+            yield kind, start, end
     for match in _TOKEN.finditer(text):
-        for start in _HEADER.finditer(match[1]):
-            if is_signed_token(match[1][start.start() :], match[2]):
-                span = (match.start(1) + start.start(), match.end(3))
-                covered.append(span)
-                yield "jwt", *span
-                break
+        start = token_start(match[1], match[2], match[3])
+        if start is not None:
+            span = (match.start(1) + start, match.end(3))
+            covered.append(span)
+            yield "jwt", *span
+    covered.sort()
+    starts = [start for start, _ in covered]
+    ends = list(accumulate((end for _, end in covered), max))
     for match in _BASE64.finditer(text):
-        # a DER sequence starts with 0x30, an OpenSSH key with "openssh" or a length below 2^16
-        if match[0][0] in "MbA" and not _inside(match.span(), covered):
-            kind = _kind_of(decode64(match[0]))
-            if kind:
-                yield kind, *match.span()
+        if match.end() - match.start() < _LEAST_BASE64:
+            continue
+        for kind, a, b in keys_in(match[0]):
+            a, b = match.start() + a, match.start() + b
+            before = bisect_right(starts, a)
+            if not before or ends[before - 1] < b:
+                yield kind, a, b
     for match in _ANY_HEX.finditer(text):
         if match[1].startswith(("30", "00", "6f", "6F")):
             kind = _kind_of(bytes.fromhex(match[1]))
@@ -171,10 +98,6 @@ def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:
                 yield kind, *match.span(1)
 
 
-def _inside(span: tuple[int, int], outer: list[tuple[int, int]]) -> bool:
-    return any(start <= span[0] and span[1] <= end for start, end in outer)
-
-
 def spans_of(text: str) -> list[tuple[str, int, int]]:
     """All spans of a text by start, then kind in the order of ``KINDS``."""
     found = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
