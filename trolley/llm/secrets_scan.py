@@ -46,9 +46,12 @@ _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
 _TOKEN = re.compile(
     r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+)(?!\.[A-Za-z0-9_-]))"
 )
-#: Base64 that may go on over line breaks.
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
 _LEAST_BASE64 = 4 * LEAST_BYTES // 3
+#: Base64 that may go on over line breaks; words that are too short and do not are passed by.
+_BASE64 = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{%d,}+|[A-Za-z0-9+/_-]++(?=[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]))"
+    r"(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}" % _LEAST_BASE64
+)
 _ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:0[xX])?((?:[0-9a-fA-F]{2}){16,})(?![0-9A-Za-z])")
 
 SPANS = T.ArrayType(
