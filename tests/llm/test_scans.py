@@ -62,7 +62,10 @@ def test_sentencepiece(docs, rows, nothing):
         ids = model.encode(text or "", add_eos=True)
         expected.append((doc_id, ids, model.decode(ids)))
     assert by_row(decoded, "ids", "decoded") == sorted(expected, key=repr)
+    both = sentencepiece_codec.round_trip(docs, sentencepiece_codec.MODEL_FILE, table_words=5)
+    assert both.columns == decoded.columns and by_row(both, "ids", "decoded") == sorted(expected, key=repr)
     assert sentencepiece_codec.encode(nothing, sentencepiece_codec.MODEL_FILE).count() == 0
+    assert sentencepiece_codec.round_trip(nothing, sentencepiece_codec.MODEL_FILE).count() == 0
 
 
 @pytest.mark.parametrize(

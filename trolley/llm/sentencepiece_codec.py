@@ -16,6 +16,7 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -26,7 +27,7 @@ from trolley.llm.arrow_maps import Batches, column, map_batches, narrow, small,
 MARK = "▁"
 
 #: The vocabulary file of the registered queries, at the same place on every machine.
-MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+MODEL_FILE = public_tokenizers.path("piece_bpe_32k.model")
 _CHUNK = re.compile(" +[^ ]*")
 
 
@@ -77,6 +78,16 @@ class _Encode:
                 table = dict(lone)
 
 
+def _with_texts(model: sentencepiece.SentencePieceProcessor, batch: pa.RecordBatch) -> pa.RecordBatch:
+    ids = column(batch, "ids")
+    texts = [
+        model.decode(ids[i].values.to_numpy().tolist()) if ids[i].is_valid else ""
+        for i in range(batch.num_rows)
+    ]
+    arrays = [column(batch, name) for name in batch.schema.names]
+    return pa.record_batch([*arrays, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+
+
 class _Decode:
     def __init__(self, model_file: str):
         self.model_file = model_file
@@ -84,15 +95,16 @@ class _Decode:
     def __call__(self, batches: Batches) -> Iterator[pa.RecordBatch]:
         model = sentencepiece.SentencePieceProcessor(model_file=self.model_file)
         for batch in batches:
-            ids = column(batch, "ids")
-            texts = [
-                model.decode(ids[i].values.to_numpy().tolist()) if ids[i].is_valid else ""
-                for i in range(batch.num_rows)
-            ]
-            arrays = [column(batch, name) for name in batch.schema.names]
-            yield pa.record_batch(
-                [*arrays, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
-            )
+            yield _with_texts(model, batch)
+
+
+class _RoundTrip(_Encode):
+    """Both ways in one worker: one model, and ids that do not leave it in between."""
+
+    def __call__(self, batches: Batches) -> Iterator[pa.RecordBatch]:
+        model = sentencepiece.SentencePieceProcessor(model_file=self.model_file)
+        for batch in super().__call__(batches):
+            yield _with_texts(model, batch)
 
 
 def encode(
@@ -115,3 +127,19 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     return map_batches(
         encoded, [*fields, T.StructField("decoded", T.StringType())], _Decode(model_file)
     )
+
+
+def round_trip(
+    docs: DataFrame,
+    model_file: str,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    table_words: int = 1 << 17,
+) -> DataFrame:
+    """``doc_id``, ``ids`` and ``decoded``: what ``decode`` makes of ``encode``, in one pass."""
+    fields = [
+        T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+        T.StructField("decoded", T.StringType()),
+    ]
+    return map_batches(narrow(docs, doc_id, text), fields, _RoundTrip(model_file, table_words))
