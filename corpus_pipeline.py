@@ -39,8 +39,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` and the text that they ``decoded`` to."""
-    ids = sentencepiece_codec.encode(docs, sentencepiece_codec.MODEL_FILE)
-    tokens = sentencepiece_codec.decode(ids, sentencepiece_codec.MODEL_FILE)
+    tokens = sentencepiece_codec.round_trip(docs, sentencepiece_codec.MODEL_FILE)
     return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
