@@ -64,7 +64,12 @@ def recent_keys(
 
 
 def earliest_in_interval(
-    stream: DataFrame, keys: Sequence[str], interval: str, order: Sequence[str] = ARRIVAL
+    stream: DataFrame,
+    keys: Sequence[str],
+    interval: str,
+    order: Sequence[str] = ARRIVAL,
+    *,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """Streaming: of every key the earliest row by ``order`` of the batch in which the key, or a
     still earlier row of it, first arrives within an interval; for output mode ``update``.
@@ -72,10 +77,13 @@ def earliest_in_interval(
     Intervals follow the time of the micro-batch, so no row is late, and are forgotten when they
     end. The minimum is taken before the exchange as well: a hot key ships one row per task.
     A key returns once per interval, hence exactness over all history takes ``new_rows``
-    behind this.
+    behind this. ``kept`` is a stream of rows that another query remembered, with the
+    ``_arrived_at`` they had there: they are remembered, and not returned again.
     """
     columns = stream.columns
     arriving = stream.withColumn("_arrived_at", F.current_timestamp())
+    if kept is not None:
+        arriving = arriving.unionByName(kept.select(*arriving.columns))
     earliest = (
         arriving.withWatermark("_arrived_at", interval)
         .groupBy(F.window("_arrived_at", interval), *keys)

@@ -24,9 +24,18 @@ from trolley.schemas import (
     narrowed,
 )
 from trolley.session import scratch_dir
-from trolley.sinks import BatchFolders, KeyedTable, LandedFiles, OffsetCoverage, Publication
+from trolley.sinks import BatchFolders, KeyedTable, LandedFiles, OffsetCoverage, ParquetTable, Publication
 from trolley.sources import message_files
-from trolley.streaming import Targets, await_query, land_parquet, land_variant, start_curation, start_users
+from trolley.streaming import (
+    Targets,
+    await_query,
+    export_state,
+    land_parquet,
+    land_variant,
+    start_curation,
+    start_users,
+    state_rows,
+)
 
 QUERIES = Registry()
 
@@ -275,3 +284,43 @@ def landing_unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     await_query(land_variant(stream, f"{root}/out", f"{root}/checkpoint", trigger={"availableNow": True}))
     landed = spark.read.parquet(f"{root}/out")
     return landed.select("ingest_offset", F.try_variant_get("record", "$.coupon.code", "string").alias("coupon")).where("coupon IS NOT NULL")
+
+
+# --- state ----------------------------------------------------------------------------------
+
+
+@QUERIES.add(
+    f"""
+SELECT *, 7 AS state_partitions, (SELECT count(DISTINCT user_id) FROM events) AS remembered FROM ({_FIRST_USERS}) AS f"""
+)
+def stream_users_redealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users from a query that goes from four to seven state partitions half-way; what it remembers
+    in the end is every user."""
+    root = scratch_dir(spark, "stream_users_redealt")
+    stored = ParquetTable(f"{root}/users", USERS)
+    middle = table(spark, sf_dir, "events").agg(F.expr("percentile_approx(ts, 0.5)")).first()[0]
+    span = f"TIMESTAMP_NTZ '{middle:%Y-%m-%d %H:%M:%S.%f}'"
+    kept = None
+    for half, n, compared in (("first", 4, "<"), ("second", 7, ">=")):
+        path = f"{root}/{half}"
+        messages(spark, sf_dir, *USERS_PAYLOAD.fieldNames(), where=f"ts {compared} {span}").write.parquet(path)
+        query = start_users(
+            message_files(spark, path),
+            stored,
+            f"{root}/{half}-checkpoint",
+            trigger={"availableNow": True},
+            remember_users="365 days",
+            n_state_partitions=n,
+            kept_state=kept,
+        )
+        await_query(query)
+        kept = f"{root}/{half}-state"
+        remembered = export_state(spark, f"{root}/{half}-checkpoint", kept)
+    held = state_rows(spark, f"{root}/second-checkpoint")
+    n = spark.read.format("state-metadata").load(f"{root}/second-checkpoint").first().numPartitions
+    widths = {row.partition_id for row in held.select("partition_id").distinct().collect()}
+    if not widths <= set(range(n)):
+        raise ValueError(f"state of partitions {sorted(widths)}, of {n}")
+    return zoneless(stored.read(spark)).withColumns(
+        {"state_partitions": F.lit(n), "remembered": F.lit(remembered).cast("long")}
+    )

@@ -32,6 +32,7 @@ def start_curation(
     batched: bool = False,
     remember_users: str | None = None,
     n_state_partitions: int | None = None,
+    kept_state: str | None = None,
     name: str | None = None,
     **fan_out_options,
 ) -> StreamingQuery:
@@ -42,7 +43,8 @@ def start_curation(
     users seen in the current interval before they reach a batch. Of several records of a user
     the earliest stays, and a task ships one per user at most, however hot the user is. Its
     state has one partition per core unless ``n_state_partitions`` says otherwise, from the
-    first run on; say so where executors come and go.
+    first run on; say so where executors come and go. ``kept_state`` is a folder with the state
+    of an earlier query (see ``trolley.streaming.state``), to be read before anything else.
     """
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
@@ -52,9 +54,16 @@ def start_curation(
             raise ValueError("remember_users would drop facts of users seen before")
         # Rejected records have no user; they are told apart by their own id.
         rejected_id = F.when(F.col("reject_reason").isNotNull(), record_id("quarantine"))
-        decoded = earliest_in_interval(
-            decoded.withColumn("_rejected", rejected_id), ["user_id", "_rejected"], remember_users
-        ).drop("_rejected")
+        decoded = decoded.withColumn("_rejected", rejected_id)
+        kept = None
+        if kept_state is not None:
+            arrived = T.StructField("_arrived_at", T.TimestampType())
+            layout = T.StructType([*decoded.schema.fields, arrived])
+            kept = messages.sparkSession.readStream.schema(layout).parquet(kept_state)
+        keys = ["user_id", "_rejected"]
+        decoded = earliest_in_interval(decoded, keys, remember_users, kept=kept).drop("_rejected")
+    elif kept_state is not None:
+        raise ValueError("kept_state is that of a query with remember_users")
 
     targets.create(messages.sparkSession)
 
