@@ -5,11 +5,12 @@ from pathlib import Path
 
 import pyspark
 import pytest
+from pyspark.sql import types as T
 
 from trolley import session
-from trolley.__main__ import parser, properties, start
-from trolley.schemas import FEEDBACK, INTERACTIONS, USERS
-from trolley.sinks import ParquetTable
+from trolley.__main__ import care, parser, properties, start
+from trolley.schemas import ACTIVITY, FEEDBACK, INTERACTIONS, USERS
+from trolley.sinks import KeyedTable, LandedFiles, ParquetTable
 from trolley.sources import read_table
 from trolley.streaming import await_query
 
@@ -111,3 +112,52 @@ def test_launcher(scratch, folder):
     assert done.returncode == 0, done.stderr[-2000:]
     lines = [line for path in Path(out).glob("*.txt") for line in path.read_text().splitlines()]
     assert len(lines) == 9
+
+
+def looked_after(spark, *argv):
+    return care(spark, parser().parse_args(argv))
+
+
+def test_users_by_key_offsets_and_state(spark, scratch, folder, inbox):
+    out = f"{scratch}/out"
+    run(spark, scratch, folder, "users", "--keyed-users", "--remember-users", "1 day", "--state-partitions", "2")
+    with pytest.raises(ValueError, match="offsets"):
+        run(spark, scratch, folder, "users", "--coverage", "--remember-users", "1 day")
+    inbox(['{"user_id":"u9"}'] * 2, first=20).write.mode("append").parquet(folder)
+    inbox(['{"user_id":"u9"}'], first=21).write.mode("append").parquet(folder)
+    run(spark, scratch, folder, "all", "--keyed-users", "--coverage")
+    lines = looked_after(spark, "offsets", "--tables", out)
+    assert lines == ["missing user-activity 0 10-19", "again user-activity 0 21-21"]
+    assert looked_after(spark, "fold", "--tables", out) == ["folded"]
+    assert looked_after(spark, "fold", "--tables", out) == ["nothing to fold"]
+    users = KeyedTable(f"{out}/users", USERS).read(spark)
+    assert sorted(r.user_id for r in users.collect()) == ["u0", "u1", "u2", "u9"]
+    said = looked_after(spark, "export-state", "--checkpoint", f"{scratch}/cp_users", "--kept-state", f"{scratch}/state")
+    assert said == ["4 records"]
+    for argv in (["export-state"], ["compact"], ["offsets"]):
+        with pytest.raises(SystemExit):
+            looked_after(spark, *argv)
+
+
+def test_landed_files_are_compacted(spark, scratch, folder):
+    run(spark, scratch, folder, "land-parquet", "--max-files", "1")
+    (line,) = looked_after(spark, "compact", "--tables", f"{scratch}/out")
+    assert line.endswith("1 now")
+    day = T.StructType([*ACTIVITY.fields, T.StructField("ingest_day", T.DateType())])
+    assert LandedFiles(f"{scratch}/out", day, by=("ingest_day",)).read(spark).count() == 9
+
+
+def test_variants_land(spark, scratch, folder):
+    run(spark, scratch, folder, "land-variant")
+    assert spark.read.parquet(f"{scratch}/out").where("variant_get(record, '$.product_id', 'string') = 'p'").count() == 9
+
+
+def test_facts_into_a_database_by_a_ledger(spark, scratch, folder, derby):
+    for _ in range(2):
+        argv = ["facts", "--messages", folder, "--tables", f"{scratch}/out", "--trigger", "available"]
+        argv += ["--checkpoint", f"{scratch}/cp_once", "--jdbc-url", derby.url, "--exactly-once", "once", "--max-files", "1"]
+        argv += ["--jdbc-types", "interaction_id varchar(40), feedback_id varchar(40)"]
+        await_query(start(spark, parser().parse_args(argv)))
+    assert read_table(spark, derby, "user_product_interactions").count() == 9
+    assert read_table(spark, derby, "user_feedback").count() == 9
+    assert read_table(spark, derby, "trolley_ledger").select("query_name").distinct().count() == 2

@@ -1,4 +1,10 @@
-"""Start a job: ``spark-submit ... launch.py JOB`` or ``python -m trolley JOB``."""
+"""Start a job: ``spark-submit ... launch.py JOB`` or ``python -m trolley JOB``.
+
+``users``, ``facts`` and ``all`` fill tables, ``land-*`` files; ``publish`` sends records. The others
+look after what those keep: ``compact`` gathers landed files, ``fold`` takes added users into the
+buckets, ``offsets`` prints what was lost or read twice, ``export-state`` writes what a stopped
+``users`` job remembers.
+"""
 
 from __future__ import annotations
 
@@ -13,20 +19,34 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trolley import session
 from trolley.operators import drop_empty
-from trolley.schemas import FEEDBACK, INTERACTIONS, METRICS, QUARANTINE, USERS
-from trolley.sinks import BatchFolders, JdbcTable, ParquetTable, Table
+from trolley.schemas import ACTIVITY, FEEDBACK, INTERACTIONS, METRICS, QUARANTINE, USERS
+from trolley.sinks import (
+    BatchFolders,
+    JdbcTable,
+    KeyedTable,
+    LandedFiles,
+    LedgerTable,
+    OffsetCoverage,
+    ParquetTable,
+    Table,
+)
 from trolley.sources import Jdbc, KafkaTopic, message_files, stream_topic
 from trolley.streaming import (
     await_query,
+    export_state,
     land_json,
     land_parquet,
     land_rejects,
+    land_variant,
     start_all,
     start_facts,
     start_users,
 )
 
-_JOBS = ("users", "facts", "all", "land-json", "land-parquet", "land-rejects", "publish")
+_CARE = ("compact", "fold", "offsets", "export-state")
+_LANDING = ("land-json", "land-parquet", "land-rejects", "land-variant")
+_JOBS = ("users", "facts", "all", *_LANDING, "publish", *_CARE)
+_DAY = T.StructField("ingest_day", T.DateType())
 
 
 def parser() -> argparse.ArgumentParser:
@@ -66,7 +86,24 @@ def parser() -> argparse.ArgumentParser:
     target.add_argument(
         "--jdbc-by-day", action="store_true", help="facts have a column ingest_day for lookups"
     )
+    target.add_argument(
+        "--keyed-users",
+        action="store_true",
+        help="keep users in buckets by key, with bitmaps: lookups read little, and a record that "
+        "comes late replaces a later one",
+    )
+    target.add_argument(
+        "--exactly-once",
+        metavar="NAME",
+        help="take every batch of facts into the database once, by a ledger; NAME stands for the checkpoint",
+    )
+    target.add_argument("--coverage", action="store_true", help="keep which offsets were read")
+    target.add_argument("--target-bytes", type=int, default=128 << 20, help="compact: size of the files")
     run = cli.add_argument_group("run")
+    run.add_argument("--remember-users", metavar="INTERVAL", help="users: drop those seen lately by state")
+    run.add_argument("--state-partitions", type=int)
+    run.add_argument("--kept-state", help="folder that export-state writes, or an earlier one wrote")
+    run.add_argument("--of", help="offsets: the job whose coverage is meant", default="all")
     run.add_argument("--checkpoint", help="folder for the progress of the query")
     run.add_argument(
         "--trigger",
@@ -119,7 +156,7 @@ def _table(args: argparse.Namespace, name: str, schema: T.StructType, *, by_day:
             for part in (args.jdbc_types or "").split(",")
             if part.strip() and part.split()[0].lower() in named
         ]
-        return JdbcTable(
+        table = JdbcTable(
             db,
             name,
             schema,
@@ -127,6 +164,11 @@ def _table(args: argparse.Namespace, name: str, schema: T.StructType, *, by_day:
             connections=args.jdbc_connections,
             by_day=by_day and args.jdbc_by_day,
         )
+        if args.exactly_once and by_day:
+            return LedgerTable(table, f"{args.exactly_once} {name}", schema.fieldNames()[-1])
+        return table
+    if name == "users" and args.keyed_users:
+        return KeyedTable(f"{args.tables}/{name}", schema)
     return ParquetTable(f"{args.tables}/{name}", schema, by_day=by_day, rebalance=True)
 
 
@@ -149,6 +191,9 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         return land_parquet(messages, args.tables, args.checkpoint, by_day=True, **given)
     if args.job == "land-json":
         return land_json(messages, args.tables, args.checkpoint, keep=args.keep, **given)
+    if args.job == "land-variant":
+        given.pop("batched")
+        return land_variant(messages, args.tables, args.checkpoint, **given)
     if args.job == "land-rejects":
         return land_rejects(messages, args.tables, args.checkpoint, keep=args.keep, **given)
     given.update(
@@ -160,10 +205,14 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         # Kafka hands out an offset once per batch; archived files may overlap.
         repeats=bool(args.messages),
     )
+    if args.coverage:
+        given["coverage"] = OffsetCoverage(f"{args.tables}/coverage_{args.job}")
     users = _table(args, "users", USERS, by_day=False)
     interactions = _table(args, "user_product_interactions", INTERACTIONS, by_day=True)
     feedback = _table(args, "user_feedback", FEEDBACK, by_day=True)
     if args.job == "users":
+        given["remember_users"] = args.remember_users
+        given["n_state_partitions"], given["kept_state"] = args.state_partitions, args.kept_state
         return start_users(messages, users, args.checkpoint, **given)
     given["clock"] = args.clock
     if args.job == "facts":
@@ -186,11 +235,37 @@ def publish_lines(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
 
+def care(spark: SparkSession, args: argparse.Namespace) -> list[str]:
+    """Look after what a job keeps; the lines say what was done or found."""
+    if args.job == "export-state":
+        if not (args.checkpoint and args.kept_state):
+            raise SystemExit("give --checkpoint and --kept-state")
+        return [f"{export_state(spark, args.checkpoint, args.kept_state)} records"]
+    if not args.tables:
+        raise SystemExit("give --tables")
+    if args.job == "compact":
+        schema = T.StructType([*ACTIVITY.fields, _DAY])
+        landed = LandedFiles(args.tables, schema, by=(_DAY.name,), target_bytes=args.target_bytes)
+        return [f"{landed.compact(spark)} files replaced, {len(landed.files(spark))} now"]
+    if args.job == "fold":
+        done = KeyedTable(f"{args.tables}/users", USERS).fold(spark)
+        return ["folded" if done else "nothing to fold"]
+    coverage = OffsetCoverage(f"{args.tables}/coverage_{args.of}")
+    found = [("missing", coverage.gaps(spark)), ("again", coverage.overlaps(spark))]
+    return [  # as many as there are spans to report
+        f"{kind} {row.topic} {row.partition} {row.first}-{row.last}"
+        for kind, spans in found
+        for row in spans.orderBy("topic", "partition", "first").toLocalIterator()
+    ]
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = session.build(f"trolley {args.job}")
     if args.job == "publish":
         publish_lines(spark, args)
+    elif args.job in _CARE:
+        print("\n".join(care(spark, args)))
     else:
         await_query(start(spark, args))
 

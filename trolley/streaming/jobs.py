@@ -14,6 +14,8 @@ from trolley.operators.decode import decode
 from trolley.operators.dedup import earliest_in_interval
 from trolley.schemas import CURATED_PAYLOAD, FACTS_PAYLOAD, USERS_PAYLOAD
 from trolley.session import state_partitions
+from trolley.sinks.coverage import OffsetCoverage
+from trolley.sinks.publication import Publication
 from trolley.sinks.tables import Table
 from trolley.streaming.fanout import Targets, fan_out
 
@@ -52,6 +54,8 @@ def start_curation(
     if remember_users is not None:
         if targets.interactions is not None or targets.feedback is not None:
             raise ValueError("remember_users would drop facts of users seen before")
+        if targets.coverage is not None:
+            raise ValueError("remember_users drops messages before their offsets are counted")
         # Rejected records have no user; they are told apart by their own id.
         rejected_id = F.when(F.col("reject_reason").isNotNull(), record_id("quarantine"))
         decoded = decoded.withColumn("_rejected", rejected_id)
@@ -112,6 +116,8 @@ def start_users(
     quarantine: Table | None = None,
     partial: Table | None = None,
     metrics: Table | None = None,
+    coverage: OffsetCoverage | None = None,
+    publication: Publication | None = None,
     trigger: Trigger = EVERY_20_SECONDS,
     **options,
 ) -> StreamingQuery:
@@ -119,7 +125,14 @@ def start_users(
 
     Keep a single query writing to ``users``: two of them can miss each other's rows.
     """
-    targets = Targets(users=users, quarantine=quarantine, metrics=metrics, partial=partial)
+    targets = Targets(
+        users=users,
+        quarantine=quarantine,
+        metrics=metrics,
+        partial=partial,
+        coverage=coverage,
+        publication=publication,
+    )
     return start_curation(
         messages, targets, checkpoint, payload=USERS_PAYLOAD, trigger=trigger, **options
     )
@@ -134,6 +147,8 @@ def start_facts(
     quarantine: Table | None = None,
     partial: Table | None = None,
     metrics: Table | None = None,
+    coverage: OffsetCoverage | None = None,
+    publication: Publication | None = None,
     trigger: Trigger = EVERY_20_SECONDS,
     **options,
 ) -> StreamingQuery:
@@ -144,6 +159,8 @@ def start_facts(
         quarantine=quarantine,
         metrics=metrics,
         partial=partial,
+        coverage=coverage,
+        publication=publication,
     )
     return start_curation(
         messages, targets, checkpoint, payload=FACTS_PAYLOAD, trigger=trigger, **options
@@ -160,11 +177,13 @@ def start_all(
     quarantine: Table | None = None,
     partial: Table | None = None,
     metrics: Table | None = None,
+    coverage: OffsetCoverage | None = None,
+    publication: Publication | None = None,
     trigger: Trigger = None,
     **options,
 ) -> StreamingQuery:
     """Users, interactions and feedback from one pass over the messages."""
-    targets = Targets(users, interactions, feedback, quarantine, metrics, partial)
+    targets = Targets(users, interactions, feedback, quarantine, metrics, partial, coverage, publication)
     return start_curation(messages, targets, checkpoint, trigger=trigger, **options)
 
 
