@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -229,6 +230,35 @@ def groups_of(rows, n, percent):
     return [(doc_id, len(sets[i]), least[find(i)] if sets[i] else doc_id) for i, (doc_id, _) in enumerate(rows)]
 
 
+def test_blocks_are_told_how_often_shingles_occur(spark, docs, rows):
+    """Each block gets the number of rows that hold each of its shingles, whatever the shards."""
+    by_hash = Counter()
+    for shards in (1, 7):
+        blocks = ngram_join.blocks_of(docs)
+        assert blocks.count() >= 3
+        told = ngram_join._questions(blocks, 3, shards).groupBy("shard").applyInArrow(ngram_join._answer, ngram_join._ANSWER)
+        answers = defaultdict(dict)
+        for r in told.collect():
+            answers[r.block][r.shard] = np.frombuffer(pa.decompress(bytes(r.counts), r.n, "zstd", asbytes=True), np.uint8)
+        held, said = Counter(), {}
+        for r in blocks.collect():
+            _, hashes = ngram_join._block_sets(r.n_bounds, r.n_bytes, bytes(r.texts), 3)
+            held.update(hashes.tolist())
+            _, _, order = ngram_join._dealt(hashes, shards)
+            parts = np.concatenate([answers[r.block][k] for k in sorted(answers[r.block])])
+            for h, n in zip(hashes[order].tolist(), parts.tolist()):
+                assert said.setdefault(h, n) == n
+        assert said == {h: min(n, 255) for h, n in held.items()}
+        by_hash = by_hash or held
+        assert held == by_hash
+
+
+def test_ngram_join_over_many_shards(docs, rows, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_SHARD_SHINGLES", 200)
+    got = by_row(ngram_join.near_components(docs), "n_shingles", "component_id")
+    assert got == sorted(groups_of(rows, 3, 90), key=repr)
+
+
 @pytest.mark.parametrize("n, percent, tile", [(3, 90, 1000), (3, 90, 1), (5, 80, 1000), (2, 30, 2)])
 def test_ngram_join(docs, rows, n, percent, tile):
     result = ngram_join.near_components(docs, n=n, percent=percent, tile=tile)

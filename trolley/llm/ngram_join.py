@@ -7,9 +7,11 @@ different sets count towards the components; equal sets are one class from the s
 never paired.
 
 1. Every text becomes a digest of its set; classes are the distinct digests.
-2. Shingles get one order for all documents, the rare first. Two sets that link share one of
-   their first few shingles, so classes that share such a shingle and fit in size are joined
-   into families, by the smallest class of each shingle and size band, never pair by pair.
+2. Shingles get one order for all documents, the rare first, by how often each occurs: blocks of
+   texts ask the shards that count shingles. Two sets that link share one of their first few
+   shingles, so classes that share such a shingle and fit in size are joined into families, by the
+   smallest class of each shingle and size band, never pair by pair. Most of the first shingles of
+   a set occur nowhere else, and unlike sets seldom meet.
 3. Within a family, sets go into a trie that every member is probed against. A family of more
    than ``tile`` classes is cut into tiles, and each pair of tiles is a group of its own.
 
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.llm.arrow_maps import Batches, append, column, fresh, map_batches, narrow, saved
+from trolley.llm.arrow_maps import Batches, append, column, fresh, map_batches, narrow, saved, small
 from trolley.llm.components import components
 from trolley.llm.trie import SetTrie
 from trolley.llm.word_hashes import Prefixes, mix, runs_of, slices, text_buffer
@@ -39,14 +41,12 @@ _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
 
-#: Buckets of shingle counts: a fixed 16 MB, however large the corpus. The finer they are, the
-#: better rare shingles are told from common ones; any order gives the same links.
-SKETCH = 1 << 23
+#: Text per block, shingles per shard, and the bits of the prints that shingles of a shard are counted
+#: by: two shingles with one print count as one more frequent one, which changes the order alone.
+_BLOCK_BYTES, _SHARD_SHINGLES, _PRINT_BITS = 4 << 20, 1 << 20, 27
 
-#: Text per shard of early shingles, and the measured size up to which members are broadcast.
-_SHARD_BYTES = 16 << 20
+#: The measured size up to which members are broadcast.
 _SMALL = 16 << 20
-_CHUNK = 1 << 16
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -122,36 +122,109 @@ def _digester(n: int):
     return digest
 
 
-def shingle_counts(rows: DataFrame, n: int) -> np.ndarray:
-    """In how many rows a shingle of each bucket occurs, over all rows (65,535 for more)."""
+# --- how often shingles occur -----------------------------------------------------------------
 
-    def count(batches: Batches) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int32)
-        for batch in batches:
-            for _, _, hashes in shingle_sets(column(batch, "text"), n):
-                np.add.at(total, (hashes % np.uint64(SKETCH)).astype(np.int64), 1)
-        chunks = [_squeezed(x) for x in total.reshape(-1, _CHUNK)]
-        yield pa.record_batch(
-            [pa.array(range(len(chunks)), pa.int64()), pa.array(chunks, pa.binary())], ["doc_id", "counts"]
-        )
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(_CHUNK, np.int64)
-        for part in table.column("counts"):
-            total += np.frombuffer(pa.decompress(part.as_py(), 4 * _CHUNK, "zstd"), np.int32)
-        summed = _squeezed(np.minimum(total, 65_535).astype(np.int32))
-        return pa.table({"doc_id": table.column("doc_id")[:1], "counts": pa.array([summed], pa.binary())})
+class _Pack:
+    """Rows of a batch as few rows of packed texts."""
+
+    def __call__(self, batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, _BLOCK_BYTES):
+            data, bounds = text_buffer(column(batch, "text"))
+            packed = pa.compress(bounds.tobytes() + data.tobytes(), "zstd", asbytes=True)
+            sizes = [len(bounds), 8 * len(bounds) + len(data)]
+            yield pa.record_batch(
+                [pa.array([0]), *(pa.array([size]) for size in sizes), pa.array([packed], pa.binary())],
+                ["doc_id", "n_bounds", "n_bytes", "texts"],
+            )
+
+
+_BLOCK = [T.StructField(name, T.LongType()) for name in ("n_bounds", "n_bytes")]
+_BLOCK.append(T.StructField("texts", T.BinaryType()))
+
 
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """``block``, ``n_bounds``, ``n_bytes`` and ``texts``: all texts in rows of some MB."""
     keyed = rows.select(F.lit(0).cast("long").alias("doc_id"), "text")
-    parts = map_batches(keyed, [T.StructField("counts", T.BinaryType())], count)
-    total = np.zeros((SKETCH // _CHUNK, _CHUNK), np.uint16)
-    for chunk, counts in parts.groupBy("doc_id").applyInArrow(add, parts.schema).collect():
-        total[chunk] = np.frombuffer(pa.decompress(bytes(counts), 4 * _CHUNK, "zstd"), np.int32)
-    return total.ravel()
+    packed = map_batches(keyed, _BLOCK, _Pack()).withColumn("block", F.monotonically_increasing_id())
+    return saved(packed.drop("doc_id"), "shingle-blocks")
+
+
+def _block_sets(n_bounds: int, n_bytes: int, packed: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds, hashes) of the shingle sets of a block's texts, in order."""
+    data = pa.decompress(packed, n_bytes, "zstd")
+    texts = pa.Array.from_buffers(
+        pa.large_string(), n_bounds - 1, [None, data.slice(0, 8 * n_bounds), data.slice(8 * n_bounds)]
+    )
+    sizes, hashes = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)]
+    for _, bounds, part in shingle_sets(texts, n):
+        sizes.append(np.diff(bounds))
+        hashes.append(part)
+    return np.cumsum(np.concatenate(sizes)), np.concatenate(hashes)
+
+
+def _dealt(hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shard and print of every shingle, in the order of both, and that order."""
+    shard = (hashes >> np.uint64(32)) % np.uint64(shards)
+    prints = mix(hashes) & np.uint64((1 << _PRINT_BITS) - 1)
+    order = np.lexsort((prints, shard))
+    return shard[order].astype(np.int64), prints[order].astype(np.uint32), order
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers of four bytes, compressed byte by byte."""
+    return pa.compress(values.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
 
 
-def _squeezed(counts: np.ndarray) -> bytes:
-    return pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
+def _from_planes(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, "zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+
+
+def _questions(blocks: DataFrame, n: int, shards: int) -> DataFrame:
+    """``shard``, ``block``, ``n``, ``prints``: what a block holds of each shard."""
+
+    def ask(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                _, hashes = _block_sets(row["n_bounds"], row["n_bytes"], row["texts"], n)
+                shard, prints, _ = _dealt(hashes, shards)
+                starts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else []
+                ends = np.append(starts[1:], len(shard)) if len(shard) else []
+                parts = [(int(shard[a]), b - a, _planes(np.diff(prints[a:b], prepend=np.uint32(0)))) for a, b in zip(starts, ends)]
+                yield pa.record_batch(
+                    [
+                        pa.array([row["block"]] * len(parts), pa.int64()),
+                        pa.array([part[0] for part in parts], pa.int64()),
+                        pa.array([part[1] for part in parts], pa.int64()),
+                        pa.array([part[2] for part in parts], pa.binary()),
+                    ],
+                    ["doc_id", "shard", "n", "prints"],
+                )
+
+    fields = [T.StructField("shard", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prints", T.BinaryType())]
+    asked = blocks.select(F.col("block").alias("doc_id"), "block", "n_bounds", "n_bytes", "texts")
+    return map_batches(asked, fields, ask).withColumnRenamed("doc_id", "block")
+
+
+_ANSWER = "block long, shard long, n long, counts binary"
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """How often each print of a shard occurs, 255 for more, for every block that asked."""
+    lengths = table.column("n").to_pylist()
+    prints = [
+        np.cumsum(_from_planes(data, n), dtype=np.uint32)
+        for data, n in zip(table.column("prints").to_pylist(), lengths)
+    ]
+    _, place, counts = np.unique(np.concatenate(prints), return_inverse=True, return_counts=True)
+    counts = np.minimum(counts, 255).astype(np.uint8)[place]
+    ends = np.cumsum(lengths)
+    replies = [pa.compress(counts[end - n : end].tobytes(), "zstd", asbytes=True) for end, n in zip(ends, lengths)]
+    return pa.table(
+        [table.column("block"), table.column("shard"), table.column("n"), pa.array(replies, pa.binary())],
+        ["block", "shard", "n", "counts"],
+    )
 
 
 _POSTINGS = [
@@ -163,14 +236,14 @@ _POSTINGS = [
 def early_shingles(
     bounds: np.ndarray, hashes: np.ndarray, counts: np.ndarray, percent: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(set, shingle) for the first shingles of each set in the common order: as many as a
-    linked set cannot miss all of."""
+    """(set, shingle) for the first shingles of each set in the common order, by ``counts``: as many
+    as a linked set cannot miss all of, without those that nobody else has."""
     sizes = np.diff(bounds)
     docs = np.repeat(np.arange(len(sizes)), sizes)
-    common = counts[(hashes % np.uint64(SKETCH)).astype(np.int64)]
-    order = np.lexsort((hashes, common, docs))
+    order = np.lexsort((hashes, counts, docs))
     length = sizes - -(-percent * sizes // 100) + 1
     early = np.arange(len(hashes)) - np.repeat(bounds[:-1], sizes) < np.repeat(length, sizes)
+    early &= counts[order] > 1
     return docs[order[early]], hashes[order[early]]
 
 
@@ -181,52 +254,57 @@ def _size_bands(sizes: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(np.maximum(sizes, 1)) / math.log(100 / percent) + 1e-9).astype(np.int64)
 
 
-def _postings(rows: DataFrame, n: int, percent: int, counts: np.ndarray, n_shards: int) -> DataFrame:
-    """Per batch and shard of shingles: its early shingles by size band, for each the smallest
-    node of the batch (its hub), and edges from the other nodes to the hub."""
-    known = rows.sparkSession.sparkContext.broadcast(counts)  # SKETCH numbers
-
-    def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for _, bounds, hashes in shingle_sets(column(batch, "text"), n):
-                sets, shingles = early_shingles(bounds, hashes, known.value, percent)
-                nodes = np.ascontiguousarray(_digests(bounds, hashes)[:, 0]).view(np.int64)[sets]
-                parts.append((shingles, _size_bands(np.diff(bounds), percent)[sets], nodes))
-            if not parts or not sum(len(x[0]) for x in parts):
-                continue
-            shingles, bands, nodes = (np.concatenate(x) for x in zip(*parts))
-            shards = (shingles >> np.uint64(32)) % np.uint64(n_shards)
-            order = np.lexsort((nodes, bands, shingles, shards))
-            shards, shingles, bands, nodes = (x[order] for x in (shards, shingles, bands, nodes))
-            new = np.ones(len(order), bool)
-            new[1:] = (shingles[1:] != shingles[:-1]) | (bands[1:] != bands[:-1])
-            hubs = nodes[new][np.cumsum(new) - 1]
-            edge = nodes != hubs
-            a, b, edge_shards = nodes[edge], hubs[edge], shards[edge]
-            shingles, bands, hubs, hub_shards = shingles[new], bands[new], hubs[new], shards[new]
-            present = np.unique(hub_shards)
-            at = np.searchsorted(hub_shards, present), np.searchsorted(hub_shards, present, "right")
-            edge_at = np.searchsorted(edge_shards, present), np.searchsorted(edge_shards, present, "right")
-
-            def packed(values: np.ndarray, kind, bounds) -> pa.Array:
-                return pa.array([values[x:y].astype(kind).tobytes() for x, y in zip(*bounds)], pa.binary())
-
-            yield pa.record_batch(
-                [
-                    pa.array(np.zeros(len(present), np.int64)),
-                    pa.array(present.astype(np.int64)),
-                    packed(shingles, np.uint64, at),
-                    packed(bands, np.int32, at),
-                    packed(hubs, np.int64, at),
-                    packed(a, np.int64, edge_at),
-                    packed(b, np.int64, edge_at),
-                ],
-                ["doc_id", *(field.name for field in _POSTINGS)],
-            )
+def _postings(blocks: DataFrame, answers: DataFrame, n: int, percent: int, shards: int) -> DataFrame:
+    """Per block and shard of shingles: its early shingles by size band, for each the smallest
+    node of the block (its hub), and edges from the other nodes to the hub."""
+
+    def cut(block: pa.Table, told: pa.Table) -> pa.Table:
+        nothing = pa.table([pa.array([], pa.int64()), *(pa.array([], pa.binary()) for _ in _POSTINGS[1:])], names)
+        if not block.num_rows or not told.num_rows:  # no shingle at all
+            return nothing
+        (row,) = block.to_pylist()
+        bounds, hashes = _block_sets(row["n_bounds"], row["n_bytes"], row["texts"], n)
+        _, _, asked = _dealt(hashes, shards)
+        told = sorted(told.select(["shard", "n", "counts"]).to_pylist(), key=lambda part: part["shard"])
+        counts = np.empty(len(hashes), np.uint8)
+        counts[asked] = np.frombuffer(
+            b"".join(pa.decompress(part["counts"], part["n"], "zstd", asbytes=True) for part in told), np.uint8
+        )
+        sets, shingles = early_shingles(bounds, hashes, counts, percent)
+        if not len(sets):
+            return nothing
+        nodes = np.ascontiguousarray(_digests(bounds, hashes)[:, 0]).view(np.int64)[sets]
+        bands = _size_bands(np.diff(bounds), percent)[sets]
+        shard = (shingles >> np.uint64(32)) % np.uint64(shards)
+        order = np.lexsort((nodes, bands, shingles, shard))
+        shard, shingles, bands, nodes = (x[order] for x in (shard, shingles, bands, nodes))
+        new = np.ones(len(order), bool)
+        new[1:] = (shingles[1:] != shingles[:-1]) | (bands[1:] != bands[:-1])
+        hubs = nodes[new][np.cumsum(new) - 1]
+        edge = nodes != hubs
+        a, b, edge_shards = nodes[edge], hubs[edge], shard[edge]
+        shingles, bands, hubs, hub_shards = shingles[new], bands[new], hubs[new], shard[new]
+        present = np.unique(hub_shards)
+        at = np.searchsorted(hub_shards, present), np.searchsorted(hub_shards, present, "right")
+        edge_at = np.searchsorted(edge_shards, present), np.searchsorted(edge_shards, present, "right")
+
+        def packed(values: np.ndarray, kind, bounds) -> pa.Array:
+            return pa.array([values[x:y].astype(kind).tobytes() for x, y in zip(*bounds)], pa.binary())
+
+        return pa.table(
+            [
+                pa.array(present.astype(np.int64)),
+                packed(shingles, np.uint64, at),
+                packed(bands, np.int32, at),
+                packed(hubs, np.int64, at),
+                packed(a, np.int64, edge_at),
+                packed(b, np.int64, edge_at),
+            ],
+            names,
+        )
 
-    keyed = rows.select(F.lit(0).cast("long").alias("doc_id"), "text")
-    return map_batches(keyed, _POSTINGS, cut)
+    names = [field.name for field in _POSTINGS]
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(cut, T.StructType(_POSTINGS))
 
 
 def _edges_of_shard(table: pa.Table) -> pa.Table:
@@ -252,11 +330,13 @@ def _edges_of_shard(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
-def families(rows: DataFrame, n: int, percent: int) -> DataFrame:
+def families(rows: DataFrame, n: int, percent: int, n_shingles: int) -> DataFrame:
     """``node`` and ``family``: connected over early shingles and fitting sizes. Sets alone with
-    all their early shingles have no family and no link."""
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    postings = _postings(rows, n, percent, shingle_counts(rows, n), max(1, math.ceil(size / _SHARD_BYTES)))
+    all their early shingles have no family and no link. ``n_shingles``: in all sets together."""
+    shards = max(1, -(-n_shingles // _SHARD_SHINGLES))
+    blocks = blocks_of(rows)
+    answers = _questions(blocks, n, shards).groupBy("shard").applyInArrow(_answer, _ANSWER)
+    postings = _postings(blocks, answers, n, percent, shards)
     found = components(postings.groupBy("shard").applyInArrow(_edges_of_shard, "a long, b long"))
     return found.select("node", F.col("root").alias("family")).unionByName(
         found.select(F.col("root").alias("node"), F.col("root").alias("family")).distinct()
@@ -350,12 +430,13 @@ def _tiled(members: DataFrame, tile: int) -> DataFrame:
 
 def _components_of(rows: DataFrame, sets: DataFrame, n: int, percent: int, tile: int) -> DataFrame:
     """``digest`` and ``component_id`` of every set that is not empty."""
+    n_shingles = sets.agg(F.sum("n_shingles")).first()[0] or 0
     classes = (
         sets.where("n_shingles > 0")
         .groupBy("digest")
         .agg(F.min("doc_id").alias("smallest"), F.any_value("node").alias("node"))
     )
-    found = families(rows, n, percent)
+    found = families(rows, n, percent, n_shingles)
     members = classes.join(found, "node").select("family", "digest", "smallest")
     tiled = _tiled(saved(members, "families"), tile).withColumnRenamed("smallest", "doc_id")
     tiled = broadcast_if_small(saved(tiled, "tiles"), _SMALL)  # else both sides are shuffled
