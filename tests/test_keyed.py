@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,6 +113,27 @@ def test_rows_may_be_added_twice_and_need_a_key(spark, users):
         users.write(rows_of(spark, [(None, "z", 3)]))
 
 
+def test_folds_are_due_by_rows_or_by_files(spark, users):
+    few = KeyedTable(users.path, SCHEMA, fold_rows=3)
+    assert not few.due(spark)
+    users.write(rows_of(spark, [("a", "x", 1), ("b", "y", 2), ("c", "z", 3)]))
+    assert few.due(spark) and not users.due(spark)
+    assert KeyedTable(users.path, SCHEMA, fold_files=1).due(spark)
+    users.fold(spark)
+    assert not few.due(spark)
+
+
+def test_a_fold_shuffles_rows_of_buckets_once(spark, users):
+    users.write(rows_of(spark, [(f"u{i}", "a", i) for i in range(100)]))
+    users.fold(spark)
+    state = users._state(spark)
+    old = users._bucketed(spark, state, range(state.buckets))
+    bucket = bitmaps.bucket_of("user_id", state.buckets).alias("bucket")
+    first = Window.partitionBy("bucket", "user_id").orderBy(*users.order)
+    dealt = old.select("*", bucket).repartition("bucket").withColumn("_rank", F.row_number().over(first))
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_files_that_no_fold_needs_are_removed(spark, users):
     for n in range(4):
         users.write(rows_of(spark, [(f"v{n}-{i}", "a", i) for i in range(40)]))

@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import types as T
 
+from trolley.schemas import INTERACTIONS, USERS
 from trolley.sinks import JdbcTable, LedgerTable
 from trolley.sinks.ledger import transaction
 from trolley.sources import even_starts, key_ranges, read_query, read_table
+from trolley.streaming import Targets, backfill
 
 SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.LongType())])
 
@@ -72,6 +74,21 @@ def test_a_writer_that_dies_leaves_all_or_nothing(spark, facts, derby, monkeypat
             run("INSERT INTO trolley_ledger VALUES ('q', 0)")
 
 
+def test_a_batch_that_runs_again_after_its_commit(spark, derby, inbox):
+    """Facts and users of a batch whose checkpoint was not written: nothing doubles, nothing waits."""
+    facts = LedgerTable(JdbcTable(derby, "interactions", INTERACTIONS), "q", "interaction_id")
+    users = LedgerTable(JdbcTable(derby, "users", USERS), "q users", "user_id", lookup=True)
+    targets = Targets(users=users, interactions=facts)
+    messages = inbox(['{"user_id":"a"}', '{"user_id":"b"}', '{"user_id":"a"}'])
+    assert backfill(messages, targets, batch_id=3) == {"users": 2, "user_product_interactions": 3}
+    assert backfill(messages, targets, batch_id=3) == {"users": 0, "user_product_interactions": 0}
+    more = inbox(['{"user_id":"b"}', '{"user_id":"c"}'], first=3)
+    assert backfill(more, targets, batch_id=4) == {"users": 1, "user_product_interactions": 2}
+    assert (users.read(spark).count(), facts.read(spark).count()) == (3, 5)
+    with pytest.raises(ValueError, match="lookup"):
+        Targets(users=LedgerTable(users.table, "q", "user_id"))
+
+
 @pytest.mark.parametrize("alphabet", ["hex", "words", "few"])
 def test_ranges_are_even_whatever_the_alphabet(spark, derby, alphabet):
     make = {

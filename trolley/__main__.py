@@ -95,7 +95,7 @@ def parser() -> argparse.ArgumentParser:
     target.add_argument(
         "--exactly-once",
         metavar="NAME",
-        help="take every batch of facts into the database once, by a ledger; NAME stands for the checkpoint",
+        help="take every batch into the database once, by a ledger; NAME stands for the checkpoint",
     )
     target.add_argument("--coverage", action="store_true", help="keep which offsets were read")
     target.add_argument("--target-bytes", type=int, default=128 << 20, help="compact: size of the files")
@@ -164,8 +164,9 @@ def _table(args: argparse.Namespace, name: str, schema: T.StructType, *, by_day:
             connections=args.jdbc_connections,
             by_day=by_day and args.jdbc_by_day,
         )
-        if args.exactly_once and by_day:
-            return LedgerTable(table, f"{args.exactly_once} {name}", schema.fieldNames()[-1])
+        if args.exactly_once:
+            key = schema.fieldNames()[-1] if by_day else schema.fieldNames()[0]
+            return LedgerTable(table, f"{args.exactly_once} {name}", key, lookup=not by_day)
         return table
     if name == "users" and args.keyed_users:
         return KeyedTable(f"{args.tables}/{name}", schema)

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trolley.operators.keys import broadcast_if_small
+
 BLOCK = 1 << 15
 _PLACE = ("topic", "partition")
 
@@ -36,7 +38,8 @@ def _event(at: Column, change: Column) -> Column:
 
 
 def observed(messages: DataFrame) -> DataFrame:
-    """Spans of the offsets of ``messages`` (``topic``, ``partition``, ``offset``, not null)."""
+    """Spans of the offsets of ``messages`` (``topic``, ``partition``, ``offset``, not null). Blocks
+    in which an offset repeats are measured first, so that as a rule only blocks are shuffled."""
     rows = messages.select("topic", F.col("partition").cast("int").alias("partition"), "offset")
     in_blocks = rows.withColumn("block", F.shiftright("offset", 15))
     blocks = in_blocks.groupBy(*_PLACE, "block").agg(
@@ -56,7 +59,7 @@ def observed(messages: DataFrame) -> DataFrame:
     events = blocks.select(*_PLACE, F.inline(F.when(held == BLOCK, whole).otherwise(runs)))
 
     # offsets that occur more than once are looked for in the blocks that have some
-    odd = blocks.where(F.col("n") > held).select(*_PLACE, "block")
+    odd = broadcast_if_small(blocks.where(F.col("n") > held).select(*_PLACE, "block"))
     same = [F.col(f"r.{name}").eqNullSafe(F.col(f"o.{name}")) for name in (*_PLACE, "block")]
     again = in_blocks.alias("r").join(odd.alias("o"), same, "left_semi")
     again = again.groupBy(*_PLACE, "offset").agg((F.count("*") - 1).alias("more")).where(F.col("more") > 0)

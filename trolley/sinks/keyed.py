@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,7 +53,7 @@ class KeyedTable:
     """Rows of ``schema`` by ``key``, with the columns of ``order`` that say which row is earliest.
 
     A bucket has ``bucket_rows`` rows on average, or up to twice as many. ``due`` says when
-    ``fold_rows`` rows were added. One writer at a time; readers may come and go.
+    ``fold_rows`` rows were added, or ``fold_files`` files. One writer at a time; readers may come and go.
     """
 
     path: str
@@ -62,6 +62,7 @@ class KeyedTable:
     order: tuple[str, ...] = ARRIVAL
     bucket_rows: int = 1 << 15
     fold_rows: int = 1 << 22
+    fold_files: int = 512
 
     # --- as any other table ---------------------------------------------------------------
 
@@ -133,7 +134,8 @@ class KeyedTable:
     # --- folds ----------------------------------------------------------------------------
 
     def due(self, spark: SparkSession) -> bool:
-        return self._added(spark).count() >= self.fold_rows
+        added = self._added(spark)
+        return len(added.inputFiles()) >= self.fold_files or added.count() >= self.fold_rows
 
     def fold(self, spark: SparkSession) -> bool:
         """Take what was added into the buckets; False if there was nothing."""
@@ -147,7 +149,8 @@ class KeyedTable:
         buckets = self._wanted(state, sum(row.n for row in counted))
         anew = range(state.buckets) if buckets != state.buckets else [row.bucket for row in counted]
         old = self._bucketed(spark, state, anew)
-        rows = self._earliest(added if old is None else added.unionByName(old))
+        rows = self._earliest(added)  # a hot key ships one row per task, the others are few per key
+        rows = rows if old is None else rows.unionByName(old)
         number = state.number + 1
         self._write_buckets(spark, rows, buckets, number)
         self._publish(spark, state, buckets, number)
@@ -163,7 +166,10 @@ class KeyedTable:
 
     def _write_buckets(self, spark: SparkSession, rows: DataFrame, buckets: int, number: int) -> None:
         bucket = bucket_of(self.key, buckets).alias("bucket")
-        dealt = rows.select("*", bucket).repartition("bucket").sortWithinPartitions("bucket", self.key)
+        first = Window.partitionBy("bucket", self.key).orderBy(*self.order)
+        # one exchange: what is dealt by bucket has the rows of a key together, and sorted for writing
+        dealt = rows.select("*", bucket).repartition("bucket").withColumn("_rank", F.row_number().over(first))
+        dealt = dealt.where("_rank = 1").drop("_rank")
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(self._at(f"rows/{number}"))
         keys = spark.read.parquet(self._at(f"rows/{number}")).select(self.key)
         index = bitmaps(keys, self.key, buckets, chunks_for(2 * self.bucket_rows))

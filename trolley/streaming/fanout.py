@@ -19,6 +19,7 @@ from trolley.operators.sample import sample_rows
 from trolley.schemas import METRICS
 from trolley.sinks.coverage import OffsetCoverage
 from trolley.sinks.keyed import KeyedTable
+from trolley.sinks.ledger import LedgerTable
 from trolley.sinks.publication import Publication
 from trolley.sinks.tables import BatchFolders, Table
 
@@ -45,8 +46,8 @@ class Targets:
     publication: Publication | None = None
 
     def __post_init__(self) -> None:
-        if isinstance(self.users, BatchFolders):
-            raise ValueError("users are looked up over all batches; use a table to append to")
+        if isinstance(self.users, BatchFolders) or isinstance(self.users, LedgerTable) and not self.users.lookup:
+            raise ValueError("users are looked up over all batches; use a table to append to, or lookup=True")
 
     def names(self) -> list[str]:
         """The tables a batch is counted for, as named in the metrics."""
@@ -270,6 +271,8 @@ def _write_if_any(rows: DataFrame, target: Table, batch_id: int, samples: int) -
 
 def _write(rows: DataFrame, target: Table, batch_id: int, samples: int) -> int:
     """Write rows, of which there are some, and count them on the way."""
+    if isinstance(target, LedgerTable) and target.done(rows.sparkSession, batch_id):
+        return 0  # by an attempt that ended after that
     if samples:
         for row in sample_rows(rows, samples).collect():
             log.info("sample %s", row)
