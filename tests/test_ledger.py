@@ -85,6 +85,8 @@ def test_a_batch_that_runs_again_after_its_commit(spark, derby, inbox):
     more = inbox(['{"user_id":"b"}', '{"user_id":"c"}'], first=3)
     assert backfill(more, targets, batch_id=4) == {"users": 1, "user_product_interactions": 2}
     assert (users.read(spark).count(), facts.read(spark).count()) == (3, 5)
+    plain = Targets(interactions=JdbcTable(derby, "plain", INTERACTIONS))
+    assert [backfill(messages, plain)["user_product_interactions"] for _ in range(2)] == [3, 0]
     with pytest.raises(ValueError, match="lookup"):
         Targets(users=LedgerTable(users.table, "q", "user_id"))
 
