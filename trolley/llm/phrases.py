@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.llm.arrow_maps import Batches, _importable, column, saved
+from trolley.llm.arrow_maps import Batches, _importable, column, saved, small
 from trolley.llm.suffix_sort import prefix_counts
 from trolley.llm.word_hashes import mix, runs_of, text_buffer
 
@@ -85,7 +85,7 @@ class Cut:
 
 
 def blocks(batches: Batches, cut: Cut) -> Iterator[Block]:
-    for batch in batches:
+    for batch in small(batches, cut.size):
         buffer, bounds = text_buffer(column(batch, "text"))
         langs = column(batch, "lang").dictionary_encode()
         names = langs.dictionary.to_pylist()
