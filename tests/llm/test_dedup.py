@@ -14,6 +14,7 @@ from trolley.llm import line_dedup, ngram_join, substring_dedup, suffix_dedup
 from trolley.llm.cuckoo import CuckooFilter
 from trolley.llm.line_dedup import LineIndex
 from trolley.llm.trie import SetTrie
+from trolley.session import scratch_dir
 
 LAST = 1 << 62
 SMALL = {"block_bytes": 3000, "shard_bytes": 4000}
@@ -234,7 +235,7 @@ def test_blocks_are_told_how_often_shingles_occur(spark, docs, rows):
     """Each block gets the number of rows that hold each of its shingles, whatever the shards."""
     by_hash = Counter()
     for shards in (1, 7):
-        blocks = ngram_join.blocks_of(docs)
+        blocks = ngram_join.blocks_of(docs, scratch_dir(spark, "blocks"))
         assert blocks.count() >= 3
         told = ngram_join._questions(blocks, 3, shards).groupBy("shard").applyInArrow(ngram_join._answer, ngram_join._ANSWER)
         answers = defaultdict(dict)

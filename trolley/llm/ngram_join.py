@@ -35,6 +35,8 @@ from trolley.llm.components import components
 from trolley.llm.trie import SetTrie
 from trolley.llm.word_hashes import Prefixes, mix, runs_of, slices, text_buffer
 from trolley.operators import broadcast_if_small
+from trolley.session import scratch_dir
+from trolley.sinks.files import remove
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -143,11 +145,12 @@ _BLOCK = [T.StructField(name, T.LongType()) for name in ("n_bounds", "n_bytes")]
 _BLOCK.append(T.StructField("texts", T.BinaryType()))
 
 
-def blocks_of(rows: DataFrame) -> DataFrame:
-    """``block``, ``n_bounds``, ``n_bytes`` and ``texts``: all texts in rows of some MB."""
+def blocks_of(rows: DataFrame, path: str) -> DataFrame:
+    """``block``, ``n_bounds``, ``n_bytes`` and ``texts``: all texts in rows of some MB, at ``path``."""
     keyed = rows.select(F.lit(0).cast("long").alias("doc_id"), "text")
     packed = map_batches(keyed, _BLOCK, _Pack()).withColumn("block", F.monotonically_increasing_id())
-    return saved(packed.drop("doc_id"), "shingle-blocks")
+    packed.drop("doc_id").write.parquet(path)
+    return rows.sparkSession.read.schema(packed.drop("doc_id").schema).parquet(path)
 
 
 def _block_sets(n_bounds: int, n_bytes: int, packed: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -334,10 +337,12 @@ def families(rows: DataFrame, n: int, percent: int, n_shingles: int) -> DataFram
     """``node`` and ``family``: connected over early shingles and fitting sizes. Sets alone with
     all their early shingles have no family and no link. ``n_shingles``: in all sets together."""
     shards = max(1, -(-n_shingles // _SHARD_SHINGLES))
-    blocks = blocks_of(rows)
+    path = scratch_dir(rows.sparkSession, "shingle-blocks")
+    blocks = blocks_of(rows, path)
     answers = _questions(blocks, n, shards).groupBy("shard").applyInArrow(_answer, _ANSWER)
     postings = _postings(blocks, answers, n, percent, shards)
     found = components(postings.groupBy("shard").applyInArrow(_edges_of_shard, "a long, b long"))
+    remove(rows.sparkSession, [path])  # the components are a checkpoint that nothing leads back from
     return found.select("node", F.col("root").alias("family")).unionByName(
         found.select(F.col("root").alias("node"), F.col("root").alias("family")).distinct()
     )
