@@ -136,16 +136,16 @@ ODD = {
 
 @pytest.mark.parametrize("name", ODD)
 def test_odd_texts_take_no_longer_than_others(name):
-    began = time.perf_counter()
+    began = time.process_time()
     secrets_scan.spans_of(ODD[name])
-    assert time.perf_counter() - began < 4  # some tenths on a machine with nothing else to do
+    assert time.process_time() - began < 4  # seconds of this process, whatever else runs
 
 
 def test_nested_values_that_break_at_the_end():
     data = b"\1\1"
     for _ in range(20_000):
         data = tlv(0x30, tlv(2, b"\1") + data)
-    began = time.perf_counter()
+    began = time.process_time()
     assert found(b64(data)) == []
-    assert time.perf_counter() - began < 8
+    assert time.process_time() - began < 8
     assert json.loads('{"a":1}') == {"a": 1}

@@ -13,14 +13,13 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
-_URL_SAFE = str.maketrans("-_", "+/")
 #: The shortest sequence that is looked at: no key is shorter.
 LEAST_BYTES = 16
 
 
 def decode64(text: str) -> bytes | None:
     """Bytes of base64 text in either alphabet, with or without padding."""
-    text = text.rstrip("=").translate(_URL_SAFE)
+    text = text.rstrip("=").replace("-", "+").replace("_", "/")
     if len(text) % 4 == 1:
         return None
     try:
@@ -222,10 +221,17 @@ def keys_in(text: str, padded: bool = True) -> Iterator[tuple[str, int, int]]:
 # --- tokens ---------------------------------------------------------------------------------
 
 
+#: How bytes of an object begin, as far as they go: a brace, and a key with its colon if there is one.
+_OPENING = re.compile(rb'\s*+(?:\{\s*+(?:\}|"(?:[^"\\]|\\.)*+(?:"\s*+(?::|\Z)|\\?\Z)|\Z)|\Z)', re.DOTALL)
+
+
 def _object(text: str, start: int = 0) -> dict | None:
     """The JSON object that base64 text holds from ``start`` on; what cannot be one is left as soon
     as that shows."""
     size, n = 64, len(text) - start
+    opening = decode64(text[start : start + min(size, n)])
+    if opening is None or not _OPENING.match(opening):
+        return None
     while size < n:
         data = decode64(text[start : start + size])
         if data is None:
