@@ -23,12 +23,13 @@ a piece. Repeated rows count as often as they occur.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trolley.llm.arrow_maps import Batches, _importable, column, saved, small
@@ -109,6 +110,7 @@ def blocks(batches: Batches, cut: Cut) -> Iterator[Block]:
             follows = np.zeros(len(starts), bool)
             follows[:-1] = (pieces[1:] == pieces[:-1]) & (docs[1:] == docs[:-1])
             lang = of_text[docs]
+            pa.default_memory_pool().release_unused()
             yield Block(names, lang, by_name[lang], ids, coded.dictionary, np.array(table, np.uint64)[ids], follows)
 
 
@@ -327,6 +329,19 @@ def _spelled(found: DataFrame, words: DataFrame) -> DataFrame:
     return named.groupBy(*found.columns).agg(spelled.alias("phrase"))
 
 
+@contextmanager
+def _short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """What is planned inside this sends texts to Python ``rows`` at a time, so that executors hold
+    few of them twice."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def collocations(
     docs: DataFrame,
     *,
@@ -351,21 +366,25 @@ def collocations(
         docs[text].cast("string").alias("text"), F.coalesce(docs[lang].cast("string"), F.lit("und")).alias("lang")
     )
     cut = Cut(seed, block)
-    words = saved(word_counts(texts, cut), "phrase-words")
+    with _short_batches(spark):
+        words = saved(word_counts(texts, cut), "phrase-words")
     while clashes(words, least):
         cut = Cut(cut.seed + 1, block)
-        words = saved(word_counts(texts, cut), "phrase-words")
+        with _short_batches(spark):
+            words = saved(word_counts(texts, cut), "phrase-words")
     frequent = words.where(F.col("n") >= least)
     known = share(bitmap(frequent, frequent.count()))
 
-    pairs = saved(pair_counts(texts, cut, known).where(F.col("n") >= least), "phrase-pairs")
+    with _short_batches(spark):
+        pairs = saved(pair_counts(texts, cut, known).where(F.col("n") >= least), "phrase-pairs")
     n_pairs, pointers = pairs.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     shards = max(1, -(-pointers // shard))
     often = pairs.where(F.col("n") >= min(shard, pointers // shards + 1) // 8 + least)
     live, hot = share(bitmap(pairs, n_pairs)), share(bitmap(often, often.count()))
 
     dealt = dealt_suffixes(texts, cut, known, live, hot, shards)
-    found = saved(phrase_counts(dealt, least), "phrase-counts")
+    with _short_batches(spark):
+        found = saved(phrase_counts(dealt, least), "phrase-counts")
     for held in (known, live, hot):
         held.unpersist()
 
