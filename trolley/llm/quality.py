@@ -2,9 +2,10 @@
 
 Two generative models over hashed n-grams, one of target text (documents labelled good) and one
 of all raw text, give every document an importance: the log ratio of its probabilities. Gumbel
-noise on that and the largest ``k`` keys are a sample of ``k`` documents without replacement, in
-proportion to their importance. ``k`` is a share of all rows if ``keep`` is given, else the
-number of documents that labelled examples say are worth keeping.
+noise on that and the largest ``k`` keys are a sample of ``k`` documents without replacement. ``k``
+is a share of all rows if ``keep`` is given, else the number of documents that labelled examples
+say are worth keeping. Importances are sums over a whole text, which differ by far more than the
+noise: the sample is nearly that of the ``k`` most important documents, whatever the seed.
 
 N-grams are those of words (1 and 2) and of the shapes of words (1 to 3): letter case, digits,
 punctuation, repetition. A document without a word has importance 0. Documents whose keys equal

@@ -1,11 +1,11 @@
-"""Substring dedup on a compacted de Bruijn graph of words.
-
-Edges of the graph are windows of ``width`` words, its nodes what two consecutive windows share.
-Edges are dealt out by their anchors (see ``repeats``), as contexts: paths of consecutive edges.
-Within a shard, a path that is found as a whole is compacted to one entry with the source
-coordinates and the number of its copies; only where paths branch are edges compared one by one,
-and each against the words at the source coordinates of the first. Repeated paths then go back
-to the blocks they come from, where a join puts the runs of neighbouring shards together.
+"""Substring dedup by windows of words.
+
+Windows of ``width`` words are dealt out by their anchors (see ``repeats``), as contexts: runs of
+windows around an anchor. Within a shard, contexts that are found as a whole become one entry with
+the number of their copies; windows of different contexts are compared one by one, by the hash of the
+window and of each of its words. No de Bruijn graph is built and the words at the source are not
+compared (README says why). Repeated windows go back to the blocks they come from, where a join puts
+the runs of neighbouring shards together.
 
 Each word in a repeated window is removed, all copies alike. Null texts have no words. Windows do
 not cross documents; rows with equal ``doc_id`` are different documents here.
