@@ -61,7 +61,7 @@ def new_users_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored.create(spark)
     stored.write(_known_users(spark, sf_dir))
     stored.fold(spark)
-    records = accepted(decode(messages(spark, sf_dir), USERS_PAYLOAD))
+    records = accepted(decode(messages(spark, sf_dir, bounded=True), USERS_PAYLOAD))
     fresh = stored.unseen(users(records, *ARRIVAL), keys=_event_users(spark, sf_dir))
     return zoneless(earliest_per_key(fresh, "user_id"))
 
@@ -77,7 +77,8 @@ def users_late_earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = KeyedTable(scratch_dir(spark, "late_users"), USERS, bucket_rows=256)
     stored.create(spark)
     for batch in range(4):
-        mine = messages(spark, sf_dir, *USERS_PAYLOAD.fieldNames(), where=f"pmod(xxhash64(event_id), 4) = {batch}")
+        part = f"pmod(xxhash64(event_id), 4) = {batch}"
+        mine = messages(spark, sf_dir, *USERS_PAYLOAD.fieldNames(), where=part, bounded=True)
         rows = users(accepted(decode(mine, USERS_PAYLOAD)), *ARRIVAL)
         stored.write(earliest_per_key(stored.improved(rows), "user_id", keep_order=True), batch)
         if batch % 2:
