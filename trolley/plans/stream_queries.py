@@ -47,7 +47,7 @@ def _archive(spark: SparkSession, root: str, make, *arguments: str) -> DataFrame
     There are at least two files per core and a batch takes one per core.
     """
     path = f"{root}/messages"
-    make(spark, *arguments, waves=2).write.parquet(path)
+    make(spark, *arguments, waves=2).write.option("compression", "zstd").parquet(path)
     return message_files(spark, path, max_files=spark.sparkContext.defaultParallelism)
 
 
@@ -68,7 +68,9 @@ def landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fields of every message as JSON lines."""
     root = scratch_dir(spark, "landing_json")
     stream = _archive(spark, root, messages, sf_dir)
-    query = land_json(stream, f"{root}/out", f"{root}/checkpoint", trigger=_DRAIN, keep="fields")
+    query = land_json(
+        stream, f"{root}/out", f"{root}/checkpoint", trigger=_DRAIN, keep="fields", compression="gzip"
+    )
     await_query(query)
     return zoneless(spark.read.schema(ACTIVITY).json(f"{root}/out"))
 
