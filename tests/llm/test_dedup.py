@@ -1,5 +1,6 @@
 """Operators 2, 3, 4 and 7 against plain Python."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -9,10 +10,12 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from plan_text import plan_of
 from result_rows import by_row
-from trolley.llm import line_dedup, ngram_join, substring_dedup, suffix_dedup
+from trolley.llm import line_dedup, ngram_join, repeats, substring_dedup, suffix_dedup
 from trolley.llm.cuckoo import CuckooFilter
 from trolley.llm.line_dedup import LineIndex
+from trolley.llm.repeats import Windows
 from trolley.llm.trie import SetTrie
 from trolley.session import scratch_dir
 
@@ -72,6 +75,80 @@ def test_suffix_dedup(docs, rows, options):
     assert sorted(found, key=repr) == sorted(expected, key=repr)
 
 
+def sent_texts(texts, width=50):
+    """Contexts whose texts leave their blocks, when each of ``texts`` is a block, and bytes of those."""
+    windows = Windows(width, 16, suffix_dedup.byte_units, count_docs=True)
+    blocks = [
+        {"doc_id": i, "ids": [i], "bounds": [0, len(x)], "text": repeats._compress(np.frombuffer(x, np.uint8))}
+        for i, x in enumerate(texts)
+    ]
+
+    def step(function, *options):
+        made = list(function([pa.RecordBatch.from_pylist(blocks)], windows, 1, *options))
+        return pa.Table.from_batches(made) if made else None
+
+    def take(name, shard, made):
+        answers = shard(made).to_pylist() if made else []
+        for block in blocks:
+            block[name] = [x for x in answers if x["doc_id"] == block["doc_id"]]
+
+    take("replies", repeats._repeated(1_024), step(repeats._named))
+    take("verdicts", repeats._judged(True), step(repeats._outlined, 1))
+    sent = step(repeats._sent, 1)
+    return (sum(sent["n"].to_pylist()), sum(map(len, sent["text"].to_pylist()))) if sent else (0, 0)
+
+
+def test_only_contexts_that_differ_send_their_text():
+    chance = np.random.default_rng(5)
+    one, two, gram = (bytes(chance.integers(97, 123, n, dtype=np.uint8)) for n in (20_000, 20_000, 30))
+    assert sent_texts([one, one, one]) == (0, 0)  # whole copies
+    assert sent_texts([one, two]) == (0, 0)
+    scattered = [b"".join(x[i : i + 300] + gram for i in range(0, 20_000, 300)) for x in (one, two)]
+    assert sent_texts(scattered) == (0, 0)  # anchors in common, no window
+    n, size = sent_texts([one, two[:9_000] + one[5_000:7_000] + two[9_000:]])
+    assert 0 < n <= 8 and 0 < size < 1_000  # where the passage begins and ends
+
+
+def test_suffix_dedup_of_patched_texts(spark):
+    rnd = random.Random(8)
+    pieces = ["".join(rnd.choice("abcé ") for _ in range(rnd.randint(10, 300))) for _ in range(25)] + ["ab" * 90]
+    rows = [
+        (rnd.choice([None, -(1 << 63), -5, *range(100)]), "".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 9))))
+        for _ in range(120)
+    ]
+    first, expected = {}, []
+    for doc_id, text in rows:
+        data = text.encode()
+        for i in range(len(data) - 49):
+            first[data[i : i + 50]] = min(first.get(data[i : i + 50], LAST), order_of(doc_id))
+    for doc_id, text in rows:
+        data, gone = text.encode(), set()
+        for i in range(len(data) - 49):
+            if first[data[i : i + 50]] < order_of(doc_id):
+                gone.update(range(i, i + 50))
+        expected.append((doc_id, len(data), len(gone), bytes(x for i, x in enumerate(data) if i not in gone)))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    for options in ({}, SMALL, {**SMALL, "hot_blocks": 2}):
+        result = suffix_dedup.dedup_bytes(table, **options).collect()
+        found = [(r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in result]
+        assert sorted(found, key=repr) == sorted(expected, key=repr)
+
+
+def test_blocks_are_not_shuffled(spark, docs):
+    chosen = ("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.shuffle.partitions", "3")
+    before = {name: spark.conf.get(name) for name, _ in chosen}
+    try:
+        for name, value in chosen:
+            spark.conf.set(name, value)
+        plan = plan_of(suffix_dedup.dedup_bytes(docs, **SMALL))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    joined = [x for x in plan.split("FileScan")[1:] if "bounds#" in x.split("\n")[0]]
+    assert len(joined) == 2 and all("SelectedBucketsCount: 3" in x.split("\n")[0] for x in joined)
+    assert not spark.sql("SHOW TABLES LIKE 'trolley_blocks*'").count()
+
+
 def test_empty_tables(nothing):
     assert substring_dedup.dedup_spans(nothing).count() == 0
     assert suffix_dedup.dedup_bytes(nothing).count() == 0

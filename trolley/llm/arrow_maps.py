@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -98,6 +99,20 @@ def saved(table: DataFrame, label: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def bucketed(table: DataFrame, label: str) -> DataFrame:
+    """``saved``, in buckets by ``doc_id``, so that joins by it do not shuffle what is read back. Only the
+    files stay: the catalog, which a bucketed table has to pass through, does not keep its name."""
+    spark = table.sparkSession
+    name = f"trolley_{label}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = table.write.format("parquet").option("compression", "zstd").option("path", scratch_dir(spark, label))
+    writer.bucketBy(buckets, "doc_id").saveAsTable(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

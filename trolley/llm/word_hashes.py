@@ -54,6 +54,12 @@ class Prefixes:
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
 
+    def of_all(self, size: int) -> np.ndarray:
+        """Hashes of all runs of ``size`` values, as ``of`` gives them."""
+        found = self.sums[size:] - self.sums[:-size]
+        found *= self.inverse[: len(found)]
+        return found
+
 
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts and the offsets between them; null is empty."""
